@@ -88,11 +88,13 @@ def csv_land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_explicit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column names given by the caller instead of the header."""
+    """Column names given by the caller instead of the header: the same name for each position."""
     root = write_files(spark, sf_dir)
-    rows, _ = _load(spark, root, pattern=r"lake/AUTOMOBILE/.*\.csv", columns=("a", "b", "c"))
+    rows, _ = _load(spark, root, pattern=r"lake/.*\.csv", columns=("a", "b", "c"))
     return rows.select(
+        F.split("filename", "/")[1].alias("segment"),
         F.try_variant_get("row_data", "$.a", "string").alias("a"),
+        F.try_variant_get("row_data", "$.b", "string").alias("b"),
         F.try_variant_get("row_data", "$.c", "string").alias("c"),
     )
 
@@ -150,9 +152,15 @@ SQL = {
         SELECT c_mktsegment AS segment, count(*) AS n, count(*) AS row_ids, CAST(sum(c_custkey) AS BIGINT) AS sum_key,
                true AS hash_matches
         FROM customer GROUP BY 1""",
-    "csv_explicit_columns": """
-        SELECT CAST(c_custkey AS VARCHAR) AS a, CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS c
-        FROM customer WHERE c_mktsegment = 'AUTOMOBILE'""",
+    "csv_explicit_columns": f"""
+        SELECT segment, CASE turn WHEN 0 THEN key WHEN 1 THEN name ELSE nation END AS a,
+               CASE turn WHEN 0 THEN name WHEN 1 THEN nation ELSE key END AS b,
+               CASE turn WHEN 0 THEN nation WHEN 1 THEN key ELSE name END AS c
+        FROM (SELECT CAST(c_custkey AS VARCHAR) AS key, {NAME} AS name, c_mktsegment AS segment,
+                     CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS nation,
+                     CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN 0
+                          WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 1 ELSE 2 END AS turn
+              FROM customer)""",
     "csv_load_summary": """
         SELECT c_mktsegment AS folder, CAST(NULL AS VARCHAR) AS problem, count(*) AS rows_loaded FROM customer GROUP BY 1
         UNION ALL SELECT 'header_only', NULL, 0 UNION ALL SELECT 'repeated', 'duplicate_columns', 0""",

@@ -14,6 +14,7 @@ from moorage.operators.manifest import (
     select_files,
     selection_counts,
 )
+from moorage.session import materialise
 from moorage.sources.files import preview_files, with_attributes
 from moorage.sources.tables import loaded_files
 
@@ -49,16 +50,18 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_attributes(order_files(spark, sf_dir))
 
 
-def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loaded(files: DataFrame) -> DataFrame:
     """Landing rows of the files with an even number of orders; of four, the content was another."""
-    files = order_files(spark, sf_dir).where(F.col("length") % 2 == 0)
+    files = files.where(F.col("length") % 2 == 0)
     digest = F.when(F.col("length") % 4 == 0, F.lit("stale")).otherwise(F.col("content_hash"))
     rows = files.select(F.col("full_path").alias("filename"), digest.alias("file_hash"))
     return rows.unionByName(rows)
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded_files(spark, loaded(spark, sf_dir))
+def manifest_and_ledger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both from one stored listing, as both are needed more than once."""
+    files = materialise(order_files(spark, sf_dir), "listing")
+    return with_attributes(files), loaded_files(spark, loaded(files))
 
 
 def manifest_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +77,7 @@ def manifest_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger(spark, sf_dir)
+    return loaded_files(spark, loaded(order_files(spark, sf_dir)))
 
 
 def manifest_date_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +85,13 @@ def manifest_date_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return new_files(manifest(spark, sf_dir), ledger(spark, sf_dir)).select("path", "content_hash")
+    files, ledger = manifest_and_ledger(spark, sf_dir)
+    return new_files(files, ledger).select("path", "content_hash")
 
 
 def manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_per_merchant(manifest(spark, sf_dir)).select("merchant", "path")
+    files, _ = manifest_and_ledger(spark, sf_dir)
+    return latest_per_merchant(files).select("merchant", "path")
 
 
 def manifest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,17 +99,18 @@ def manifest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = select_files(manifest(spark, sf_dir), ledger(spark, sf_dir), START, "daily", max_files=40)
-    return files.select("path", "content_hash")
+    files, ledger = manifest_and_ledger(spark, sf_dir)
+    return select_files(files, ledger, START, "daily", max_files=40).select("path", "content_hash")
 
 
 def manifest_plan_latest_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = select_files(manifest(spark, sf_dir), ledger(spark, sf_dir), START, "daily", latest_of="all")
-    return files.select("path", "content_hash")
+    files, ledger = manifest_and_ledger(spark, sf_dir)
+    return select_files(files, ledger, START, "daily", latest_of="all").select("path", "content_hash")
 
 
 def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection_counts(manifest(spark, sf_dir), ledger(spark, sf_dir), START)
+    files, ledger = manifest_and_ledger(spark, sf_dir)
+    return selection_counts(files, ledger, START)
 
 
 def uri_relative_path(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,5 +186,5 @@ SQL = {
         FROM (SELECT path NOT IN (SELECT path FROM ({_new(MANIFEST)})) AS known,
                      file_date IS NULL OR file_date >= DATE '{START}' AS in_time FROM ({MANIFEST}))""",
     "uri_relative_path": """
-        SELECT page_id, regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/', '') AS path FROM pages""",
+        SELECT page_id, regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*/', '') AS path FROM pages""",
 }

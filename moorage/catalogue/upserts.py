@@ -9,6 +9,7 @@ from moorage.functions.documents import canonical_json, document_hash, strict_js
 from moorage.operators.merge import action_counts, in_collection, latest_documents, merged, upsert_actions
 from moorage.operators.profile import upsert_estimate
 from moorage.plans.document_load import load_documents
+from moorage.session import materialise
 from moorage.spec import DocumentLoad
 
 STORED_AT = "2024-01-01 00:00:00"
@@ -61,7 +62,8 @@ def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.lit(LOADED_AT).cast("timestamp_ntz")
-    rows = merged(landing(spark, sf_dir), arriving(spark, sf_dir), "events", now)
+    source = materialise(arriving(spark, sf_dir), "arriving")
+    rows = merged(landing(spark, sf_dir), source, "events", now)
     return rows.select(
         "collection_name",
         F.coalesce(text("row_id"), F.lit("new")).alias("row_id"),

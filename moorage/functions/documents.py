@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -26,6 +26,11 @@ def field(doc: Column, *keys: str) -> Column:
     return F.try_variant_get(doc, variant_path(*keys), "variant")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` for a value that is used several times but should be computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strict_json(text: Column) -> Column:
     """The VARIANT of a text that is one JSON value, else NULL.
 
@@ -35,7 +40,12 @@ def strict_json(text: Column) -> Column:
     """
     mark = F.xxhash64(text)
     pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    return F.when(F.try_variant_get(pair, "$[1]", "bigint") == mark, F.try_variant_get(pair, "$[0]", "variant"))
+
+    def first(parsed: Column) -> Column:
+        whole = F.try_variant_get(parsed, "$[1]", "bigint") == mark
+        return F.when(whole, F.try_variant_get(parsed, "$[0]", "variant"))
+
+    return once(pair, first)
 
 
 def is_object_text(text: Column) -> Column:
@@ -100,10 +110,9 @@ def _kept(doc: Column, at: tuple[str, ...], node: dict) -> Column:
         if below is None:
             value = field(doc, *here)
             if at:  # a null below the top level counts as missing
-                value = F.when(~F.is_variant_null(value), value)
+                value = once(value, lambda v: F.when(~F.is_variant_null(v), v))
         else:
-            inner = _kept(doc, here, below)
-            value = F.when(F.size(inner) > 0, F.to_variant_object(inner))
+            value = once(_kept(doc, here, below), lambda m: F.when(F.size(m) > 0, F.to_variant_object(m)))
         pairs += [F.lit(key), value]
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
@@ -141,10 +150,14 @@ def _with_values(doc: Column, node: dict) -> Column:
         if isinstance(value, dict):
             value = _with_values(field(doc, key), value)
         pairs += [F.lit(key), value]
-    new = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
     nothing = F.create_map().cast("map<string,variant>")
-    old = F.map_filter(F.coalesce(object_entries(doc), nothing), lambda k, _: ~F.map_contains_key(new, k))
-    return F.when(F.size(new) > 0, F.to_variant_object(F.map_concat(old, new))).otherwise(doc)
+    entries = F.coalesce(object_entries(doc), nothing)
+
+    def laid_over(new: Column) -> Column:
+        old = F.map_filter(entries, lambda k, _: ~F.map_contains_key(new, k))
+        return F.when(F.size(new) > 0, F.to_variant_object(F.map_concat(old, new))).otherwise(doc)
+
+    return once(F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()), laid_over)
 
 
 def json_ready(value: Column, kind: T.DataType) -> Column:

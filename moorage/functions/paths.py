@@ -7,17 +7,19 @@ import re
 from pyspark.sql import Column, functions as F
 
 # The date format of file names and the name of files without a merchant folder.
-FILE_DATE = r"(?i)(\d{4}_\d{2}_\d{2})\.csv$"
+FILE_DATE = r"(?i)((?!0000)\d{4}_\d{2}_\d{2})\.csv$"
 FILE_DATE_FORMAT = "yyyy_MM_dd"
 NO_MERCHANT = "unknown"
 
+SCHEME_AND_BUCKET = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*/|/(?!/))"
+
 
 def relative_path(path: Column, base: str | None = None) -> Column:
     """Path below the bucket, or below ``base`` if given; a path without a scheme stays as it is."""
-    stripped = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/", "")
+    stripped = F.regexp_replace(path, SCHEME_AND_BUCKET, "")
     if base is None:
         return stripped
-    prefix = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/", "", base).strip("/")
+    prefix = re.sub(SCHEME_AND_BUCKET, "", base).strip("/")
     if not prefix:
         return stripped
     bare = F.ltrim(stripped, F.lit("/"))
@@ -31,8 +33,7 @@ def merchant(path: Column) -> Column:
 
 def file_date(path: Column) -> Column:
     """Date at the end of a CSV file name; NULL if there is none or the calendar has no such day."""
-    text = F.nullif(F.regexp_extract(path, FILE_DATE, 1), F.lit(""))
-    return F.when(~text.startswith("0000"), F.try_to_date(text, FILE_DATE_FORMAT))
+    return F.try_to_date(F.regexp_extract(path, FILE_DATE, 1), FILE_DATE_FORMAT)
 
 
 def whole_match(path: Column, pattern: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
@@ -22,12 +22,21 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, lookup_bytes: int,
     return salted.join(repeated, [key, "salt"]).drop("salt")
 
 
-def spread_nulls(key: Column, *spread: Column) -> Column:
-    """Second join key: 0 for a row with a key, else a share of the rows without one.
+def left_join_spread(rows: DataFrame, lookup: DataFrame, key: str, lookup_key: str, *more: Column) -> DataFrame:
+    """Left join in which rows without a key are spread over the tasks.
 
-    Rows without a key match nothing in an outer join, yet would all meet in one task.
+    They match nothing, yet would all be sent to one task. For the shuffle they get a number made from
+    the rest of the row in place of the key; that it might equal a real key does not matter, since the
+    join also asks for the key to be there. ``more`` are further conditions.
     """
-    return F.when(key.isNotNull(), F.lit(0).cast("bigint")).otherwise(F.pmod(F.xxhash64(*spread), F.lit(1024)) + 1)
+    kind = rows.schema[key].dataType
+    hashable = [F.col(f"`{f.name}`") for f in rows.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+    stand_in = F.pmod(F.xxhash64(*hashable), F.lit(1000)).try_cast(kind)
+    keyed = rows.withColumn("join_key", F.coalesce(F.col(f"`{key}`"), stand_in))
+    on = (F.col("join_key") == F.col(lookup_key)) & F.col(f"`{key}`").isNotNull()
+    for condition in more:
+        on = on & condition
+    return keyed.join(lookup, on, "left").drop("join_key")
 
 
 def one_row(*parts: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def new_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def after_start(start_date: str | date | datetime | None) -> Column:
     """Files from the cut-off on; files without a date pass."""
-    return F.col("file_date").isNull() | (F.col("file_date") >= F.lit(start_of(start_date)))
+    return F.coalesce(F.col("file_date") >= F.lit(start_of(start_date)), F.lit(True))
 
 
 def latest_per_merchant(manifest: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from moorage.operators.joins import spread_nulls
+from moorage.operators.joins import left_join_spread
 
 INSERT, UPDATE, UNCHANGED, KEEP = "insert", "update", "unchanged", "keep"
 
@@ -77,13 +77,11 @@ def updated_rows(target: DataFrame, source: DataFrame, load_timestamp: Column |
     """
     loaded = F.localtimestamp() if load_timestamp is None else load_timestamp
     new = source.select(
-        "document_id",
-        F.lit(0).cast("bigint").alias("spread"),
+        F.col("document_id").alias("new_id"),
         F.col("row_data").alias("new_data"),
         F.col("document_hash").alias("new_hash"),
     )
-    rows = target.withColumn("spread", spread_nulls(F.col("document_id"), F.col("row_id")))
-    joined = rows.join(new, ["document_id", "spread"], "left")
+    joined = left_join_spread(target, new, "document_id", "new_id")
     rewrite = F.col("new_hash").isNotNull() & _stale(F.col("document_hash"), F.col("new_hash"))
     replaced = {
         "row_data": F.when(rewrite, F.col("new_data")).otherwise(F.col("row_data")),

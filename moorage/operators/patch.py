@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from moorage.functions.documents import as_variant, field, set_fields
 from moorage.functions.values import FEES_FIELD, fee_list, not_blank, utc_timestamp
-from moorage.operators.joins import one_row, spread_nulls
+from moorage.operators.joins import left_join_spread, one_row
 from moorage.operators.merge import latest_by_key
 from moorage.operators.profile import batches
 from moorage.sources.tables import has_column, source_rows
@@ -131,17 +131,12 @@ def first_matches(target: DataFrame, ops: DataFrame, key: Column, first_by: Colu
 
 def _matched(target: DataFrame, ops: DataFrame, key: Column, first_by: Column | None) -> DataFrame:
     """All target rows, with the patch of those that have one."""
-    hashable = [
-        F.col(f"`{f.name}`") for f in target.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))
-    ] or [F.lit(0)]
-    rows = target.withColumns({"target_key": key, "spread": spread_nulls(key, *hashable)})
-    ops = ops.withColumn("op_spread", F.lit(0).cast("bigint"))
-    on = (F.col("target_key") == F.col("match_key")) & (F.col("spread") == F.col("op_spread"))
-    if first_by is not None:
-        ops = first_matches(target, ops, key, first_by)
-        on = on & (F.col("target_at") == F.col("first_at"))
-        rows = rows.withColumn("target_at", first_by)
-    return rows.join(ops, on, "left")
+    rows = target.withColumn("target_key", key)
+    if first_by is None:
+        return left_join_spread(rows, ops, "target_key", "match_key")
+    rows = rows.withColumn("target_at", first_by)
+    first = F.col("target_at") == F.col("first_at")
+    return left_join_spread(rows, first_matches(target, ops, key, first_by), "target_key", "match_key", first)
 
 
 def apply_patches(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moorage.functions.csv_text import MAX_COLUMNS
 from moorage.operators.csv_rows import landing_rows, load_report, with_columns, with_headers
-from moorage.operators.manifest import select_files
+from moorage.operators.manifest import after_start, select_files
 from moorage.session import materialise
 from moorage.sinks.tables import append_rows, create_csv_landing
 from moorage.sources.csv_files import read_headers
@@ -24,7 +24,11 @@ class CsvResult:
 
 
 def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> DataFrame:
-    """Files a load would read, stored so that their content is hashed once."""
+    """Files a load would read.
+
+    The manifest is stored, so that content is hashed once; files before the cut-off are left out first,
+    and never opened.
+    """
     manifest = list_files(
         spark,
         root,
@@ -35,14 +39,14 @@ def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> D
         max_content_bytes=load.max_content_bytes or MAX_CONTENT_BYTES,
         encoding=load.encoding,
     )
+    candidates = materialise(manifest.where(after_start(load.start_date)), "manifest")
     ledger = loaded_files(spark, read_table(spark, load.table))
-    return materialise(
-        select_files(manifest, ledger, load.start_date, load.load_mode, load.max_files, load.latest_of), "files"
-    )
+    return select_files(candidates, ledger, load.start_date, load.load_mode, load.max_files, load.latest_of)
 
 
 def name_columns(spark: SparkSession, load: CsvLoad, files: DataFrame) -> DataFrame:
     """The chosen files with their column names, stored."""
+    files = materialise(files, "files")
     if load.columns:
         named = with_columns(files, list(load.columns))
     else:

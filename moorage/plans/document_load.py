@@ -93,11 +93,9 @@ def load_documents(
         append_rows(good_rows(rows), load.table, cluster)
         return _result(load, documents, seen, inserted=seen.get["read"] - seen.get["failed"])
 
-    # The source is read several times from here on: store it once, parsed.
-    good = materialise(good_rows(rows), "documents")
-    source = latest_documents(good, load.order_by).select(
-        "row_data", "document_id", "document_hash", "collection_name"
-    )
+    # The source is read several times from here on: store it once, parsed and with each id once.
+    latest = latest_documents(good_rows(rows), load.order_by)
+    source = materialise(latest.select("row_data", "document_id", "document_hash", "collection_name"), "documents")
     target = in_collection(spark.table(load.table), load.collection)
     counts = {r.action: r.n for r in action_counts(upsert_actions(target, source)).collect()}
     n_insert, n_update, n_same = (counts.get(a, 0) for a in (INSERT, UPDATE, UNCHANGED))

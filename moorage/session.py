@@ -30,12 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     A local folder is made up only when the session names none and runs in this one process.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="moorage-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="moorage-shared-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

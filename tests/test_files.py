@@ -1,0 +1,228 @@
+import gzip
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from moorage.operators.csv_rows import load_summary
+from moorage.operators.manifest import after_start
+from moorage.operators.joins import lookup_join
+from moorage.plans import csv_load
+from moorage.plans.csv_load import load_csv
+from moorage.sources.files import list_files, preview_files
+from moorage.spec import CsvLoad
+from tests.conftest import plan_of, rows_of
+
+
+def standard(lake):
+    lake.write("lake/acme/report_2025_01_15.csv", 'id,name,"amt"\n007,x,1.50\n2,,3\n')
+    lake.write("lake/acme/report_2025_02_01.csv", "amt,id,name\n9,8,z\n")
+    lake.write("lake/beta/report_2024_12_31.csv", "a\n1\n")
+    lake.write("lake/beta/report_2025_02_30.csv", "a\n1\n")
+    lake.write("lake/gamma x/more+1.CSV", 'a,"b\nc"\r\n1,"x\r\ny"\r\n')
+    lake.write("lake/delta/report_2025_03_01.csv", 'amt,id,,zip,\n9,"a\nb",q,01,surplus\n"",5\n')
+    lake.write("lake/delta/wide_2025_03_02.csv", ",".join(f"c{i}" for i in range(151)) + "\n1\n")
+    lake.write("lake/delta/full_2025_03_02.csv", ",".join(f"c{i}" for i in range(150)) + "\n1\n")
+    lake.write("lake/delta/dup_2025_03_03.csv", "a,a\n1,2\n")
+    lake.write("lake/delta/head_2025_03_04.csv", "h1,h2\n")
+    lake.write("lake/delta/empty_2025_03_05.csv", "")
+    lake.write("lake/delta/nameless_2025_03_06.csv", ",,\n1,2,3\n")
+    lake.write("lake/delta/bom_2025_03_07.csv", "\ufeffid,z\n1,2\n")
+    lake.write("lake/delta/w[1].csv", "x\n5\n")
+    lake.write("x.csv", "q\n1\n")
+    lake.write("lake/zipped.csv.gz", gzip.compress(b'p,"q\nr"\n5,6\n'))
+
+
+PROBLEMS = {
+    "lake/delta/wide_2025_03_02.csv": "too_many_columns",
+    "lake/delta/dup_2025_03_03.csv": "duplicate_columns",
+    "lake/delta/empty_2025_03_05.csv": "could_not_read_header",
+    "lake/delta/nameless_2025_03_06.csv": "no_columns",
+}
+LOADED = {
+    "lake/acme/report_2025_01_15.csv": ['{"amt":"1.50","id":"007","name":"x"}', '{"amt":"3","id":"2","name":null}'],
+    "lake/acme/report_2025_02_01.csv": ['{"amt":"9","id":"8","name":"z"}'],
+    "lake/beta/report_2025_02_30.csv": ['{"a":"1"}'],
+    "lake/gamma x/more+1.CSV": ['{"a":"1","b\\nc":"x\\r\\ny"}'],
+    "lake/delta/report_2025_03_01.csv": [
+        '{"amt":"","column_3":null,"id":"5","zip":null}',
+        '{"amt":"9","column_3":"q","id":"a\\nb","zip":"01"}',
+    ],
+    "lake/delta/bom_2025_03_07.csv": ['{"id":"1","z":"2"}'],
+    "lake/delta/w[1].csv": ['{"x":"5"}'],
+    "x.csv": ['{"q":"1"}'],
+    "lake/zipped.csv.gz": ['{"p":"5","q\\nr":"6"}'],
+}
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {},
+        {"fingerprint": "listing"},
+        {"max_content_bytes": 20},
+        {"fingerprint": "listing", "max_content_bytes": 5},
+        {"cluster": True},
+    ],
+)
+def test_every_way_to_read_gives_the_same_rows(spark, lake, table, options):
+    standard(lake)
+    load = CsvLoad(table=table, base=lake.root, **options)
+    report = {r.path: (r.rows_loaded, r.problem) for r in load_csv(spark, load, lake.root).report.collect()}
+    assert {p: reason for p, (_, reason) in report.items() if reason} == PROBLEMS
+    assert report["lake/delta/head_2025_03_04.csv"] == (0, None)
+    assert "lake/beta/report_2024_12_31.csv" not in report
+    got = {}
+    for r in spark.table(table).select("filename", F.to_json("row_data").alias("j")).collect():
+        got.setdefault(r.filename, []).append(r.j)
+    full = got.pop("lake/delta/full_2025_03_02.csv")
+    assert len(full) == 1 and full[0].count(":") == 150
+    assert {p: sorted(rows) for p, rows in got.items()} == LOADED
+    assert {p: n for p, (n, _) in report.items() if n and p in LOADED} == {p: len(v) for p, v in LOADED.items()}
+    ids = [r.row_id for r in spark.table(table).select("row_id").collect()]
+    assert len(set(ids)) == len(ids) and min(ids) >= 1
+
+
+def test_loading_again_is_a_no_op_and_changed_files_are_added(spark, lake, table):
+    lake.write("lake/a/f_2025_01_01.csv", "x\n1\n")
+    lake.write("lake/b/f_2025_01_01.csv", "x\n1\n")
+    load = CsvLoad(table=table, base=lake.root)
+    load_csv(spark, load, lake.root)
+    assert load_csv(spark, load, lake.root).report.count() == 0
+    assert spark.table(table).count() == 2
+    before = spark.table(table).agg(F.max("row_id")).first()[0]
+    lake.write("lake/a/f_2025_01_01.csv", "x\n2\n3\n")
+    assert rows_of(load_csv(spark, load, lake.root).report) == [("lake/a/f_2025_01_01.csv", 2, None)]
+    values = spark.table(table).select("filename", F.to_json("row_data"), F.col("row_id") > before)
+    assert rows_of(values) == [
+        ("lake/a/f_2025_01_01.csv", '{"x":"1"}', False),
+        ("lake/a/f_2025_01_01.csv", '{"x":"2"}', True),
+        ("lake/a/f_2025_01_01.csv", '{"x":"3"}', True),
+        ("lake/b/f_2025_01_01.csv", '{"x":"1"}', False),
+    ]
+
+
+def test_daily_mode_loads_the_second_newest_next_time_unless_told_otherwise(spark, lake, table):
+    for day in ("01", "02", "03"):
+        lake.write(f"lake/a/f_2025_01_{day}.csv", f"x\n{day}\n")
+    load = CsvLoad(table=table, base=lake.root, load_mode="daily")
+    assert [r.path for r in load_csv(spark, load, lake.root).report.collect()] == ["lake/a/f_2025_01_03.csv"]
+    assert [r.path for r in load_csv(spark, load, lake.root).report.collect()] == ["lake/a/f_2025_01_02.csv"]
+    of_all = CsvLoad(table=table, base=lake.root, load_mode="daily", latest_of="all")
+    assert load_csv(spark, of_all, lake.root).report.count() == 0
+
+
+def test_dry_run_writes_nothing(spark, lake, table):
+    standard(lake)
+    result = load_csv(spark, CsvLoad(table=table, base=lake.root, dry_run=True), lake.root)
+    counts = {r.path: r.n_columns for r in result.report.collect()}
+    assert counts["lake/delta/report_2025_03_01.csv"] == 4
+    assert counts["lake/delta/full_2025_03_02.csv"] == 150
+    assert counts["lake/delta/dup_2025_03_03.csv"] is None
+    assert not spark.catalog.tableExists(table)
+
+
+def test_max_files_pattern_and_glob(spark, lake, table):
+    standard(lake)
+    load = CsvLoad(table=table, base=lake.root, pattern=r"lake/(acme|delta)/.*\.csv", max_files=1)
+    assert [r.path for r in load_csv(spark, load, lake.root).report.collect()] == ["lake/acme/report_2025_01_15.csv"]
+    none = CsvLoad(table=table, base=lake.root, max_files=0)
+    assert load_csv(spark, none, lake.root).report.count() == 0
+    found = list_files(spark, lake.root, glob="*.gz", base=lake.root)
+    assert [r.path for r in found.collect()] == ["lake/zipped.csv.gz"]
+
+
+def test_explicit_columns(spark, lake, table):
+    lake.write("lake/a/f.csv", "x,y\n1,2\n3\n")
+    load_csv(spark, CsvLoad(table=table, base=lake.root, columns=("p", "q")), lake.root)
+    assert rows_of(spark.table(table).select(F.to_json("row_data"))) == [('{"p":"1","q":"2"}',), ('{"p":"3","q":null}',)]
+
+
+def test_manifest(spark, lake):
+    standard(lake)
+    files = {r.path: r for r in list_files(spark, lake.root, base=lake.root).collect()}
+    assert len(files) == 16
+    content = b"amt,id,name\n9,8,z\n"
+    entry = files["lake/acme/report_2025_02_01.csv"]
+    assert (entry.content_hash, entry.length) == (hashlib.md5(content).hexdigest(), len(content))
+    assert files["lake/delta/empty_2025_03_05.csv"].content_hash == hashlib.md5(b"").hexdigest()
+    assert files["lake/gamma x/more+1.CSV"].merchant == "gamma x"
+    assert files["x.csv"].merchant == "unknown"
+    first = preview_files(list_files(spark, lake.root, base=lake.root), 3)
+    assert [r.path for r in first.collect()] == sorted(files)[:3]
+
+
+def opened_files(df) -> int:
+    """Files the scans of a plan without adaptive parts select."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+
+    def total(node) -> int:
+        n = node.metrics().apply("numFiles").value() if node.metrics().contains("numFiles") else 0
+        below = node.children().iterator()
+        while below.hasNext():
+            n += total(below.next())
+        return n
+
+    return total(plan)
+
+
+def test_listing_fingerprint_reads_no_content_and_patterns_prune_files(spark, lake):
+    standard(lake)
+    listed = list_files(spark, lake.root, base=lake.root, fingerprint="listing", include_empty=False)
+    assert "content#" not in plan_of(listed).split("ReadSchema")[-1]
+    assert "content" not in plan_of(listed).split("ReadSchema: ")[-1]
+    matching = list_files(spark, lake.root, pattern=r"lake/acme/.*", base=lake.root, include_empty=False)
+    assert opened_files(matching) == 2 * 2  # the scans for small and for large files
+    in_time = matching.where(after_start("2025-02-01"))
+    assert opened_files(in_time) == 2 * 1
+
+
+def test_a_large_file_is_split_unless_a_line_leaves_a_quote_open(spark, lake):
+    body = "".join(f"{i},name {i}\n" for i in range(2000))
+    lake.write("lake/a/plain.csv", "id,name\n" + body)
+    lake.write("lake/a/quoted.csv", "id,name\n" + body + '5,"a\nb"\n')
+    load = CsvLoad(table="none_such", base=lake.root, fingerprint="listing", max_content_bytes=100)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        files = csv_load.name_columns(spark, load, csv_load.choose_files(spark, load, lake.root))
+        assert rows_of(files.select("path", "names", "multi_line")) == [
+            ("lake/a/plain.csv", ["id", "name"], False),
+            ("lake/a/quoted.csv", ["id", "name"], True),
+        ]
+        rows = csv_load.landing_rows(spark, files)
+        counts = rows.groupBy("filename").agg(F.count("*"), F.countDistinct(F.to_json("row_data")))
+        assert rows_of(counts) == [("lake/a/plain.csv", 2000, 2000), ("lake/a/quoted.csv", 2001, 2001)]
+        assert rows.rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_headers_beyond_the_broadcast_bound_are_joined_over_salts(spark, lake):
+    standard(lake)
+    load = CsvLoad(table="none_such", base=lake.root)
+    files = csv_load.name_columns(spark, load, csv_load.choose_files(spark, load, lake.root))
+    small = csv_load.landing_rows(spark, files)
+    large = csv_load.landing_rows(spark, files, broadcast_bytes=0)
+    assert "BroadcastHashJoin" in plan_of(small)
+    shown = lambda df: rows_of(df.select("filename", F.to_json("row_data")))
+    assert shown(small) == shown(large)
+
+
+def test_lookup_join_spreads_a_hot_key(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") >= 0, "hot").otherwise("cold").alias("k"), "id")
+    lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
+    joined = lookup_join(rows, lookup, "k", lookup_bytes=10, limit=1)
+    assert joined.count() == 1000 and joined.columns == ["k", "id", "v"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning(k" in plan_of(lookup_join(rows, lookup, "k", 10, 1))
+        assert "salt" in plan_of(lookup_join(rows, lookup, "k", 10, 1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_load_summary(spark):
+    report = spark.createDataFrame([("a", 2, None), ("b", 0, None), ("c", 0, "no_columns")], "path string, rows_loaded long, problem string")
+    assert rows_of(load_summary(report)) == [(2, 2, 1)]
+    assert rows_of(load_summary(report.limit(0))) == [(0, 0, 0)]
