@@ -1,13 +1,14 @@
 """Document-store filter dicts as Spark conditions.
 
 Comparisons hold only between values of one kind (number, text, boolean), as in the store: the text "5"
-is not a number. A field holding an array also matches if one of its elements does. ``{"f": None}``
-matches a null or missing field. Paths do not descend through arrays of objects.
+is not a number. A field holding an array also matches if one of its elements does, and a path goes
+through arrays of objects to any element, or to one by its number. ``{"f": None}`` matches a null or
+missing field.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import Any
 
@@ -57,20 +58,52 @@ def _holds(op: str, value: Column, operand: Any) -> Column:
     return found
 
 
-def _test(op: str, value: Column, operand: Any, promoted: bool) -> Column:
+Reach = Callable[[Callable[[Column], Column]], Column]
+
+
+def _reached(value: Column, keys: list[str]) -> Reach:
+    """Takes a test to the value at a path; below an array, to that of any element."""
+
+    def holds(test: Callable[[Column], Column]) -> Column:
+        if not keys:
+            return test(value)
+        key, rest = keys[0], keys[1:]
+        inner = field(value, key)
+        if key.isdigit():
+            inner = F.coalesce(inner, F.try_variant_get(value, f"$[{key}]", "variant"))
+        direct = _reached(inner, rest)(test)
+        elements = F.try_variant_get(value, "$", "array<variant>")
+        nested = F.exists(elements, lambda x: _reached(field(x, key), rest)(test))
+        return F.when(elements.isNull() | inner.isNotNull(), direct).otherwise(F.coalesce(nested, F.lit(False)))
+
+    return holds
+
+
+def _in_document(doc: Column, path: str) -> Reach:
+    """The same from the document down, which is an object and never an array."""
+    first, *rest = path.split(".")
+    return _reached(field(doc, first), rest)
+
+
+def _in_column(column: Column) -> Reach:
+    return lambda test: test(column)
+
+
+def _test(op: str, reach: Reach, operand: Any, promoted: bool) -> Column:
     holds = _holds_typed if promoted else _holds
     if op in ("$eq", "$gt", "$gte", "$lt", "$lte"):
-        return holds(op, value, operand)
+        return reach(lambda v: holds(op, v, operand))
     if op == "$ne":
-        return ~holds("$eq", value, operand)
+        return ~reach(lambda v: holds("$eq", v, operand))
     if op == "$in":
-        return _any([holds("$eq", value, x) for x in operand])
+        return reach(lambda v: _any([holds("$eq", v, x) for x in operand]))
     if op == "$nin":
-        return ~_any([holds("$eq", value, x) for x in operand])
+        return ~reach(lambda v: _any([holds("$eq", v, x) for x in operand]))
     if op == "$exists":
-        return value.isNotNull() if operand else value.isNull()
+        there = reach(lambda v: v.isNotNull())
+        return there if operand else ~there
     if op == "$not":
-        return ~_field_tests(value, operand, promoted)
+        return ~_field_tests(reach, operand, promoted)
     raise ValueError(f"unknown filter operator {op}")
 
 
@@ -89,10 +122,10 @@ def _all(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
 
 
-def _field_tests(value: Column, condition: Any, promoted: bool) -> Column:
+def _field_tests(reach: Reach, condition: Any, promoted: bool) -> Column:
     if isinstance(condition, Mapping) and any(k.startswith("$") for k in condition):
-        return _all([_test(op, value, operand, promoted) for op, operand in condition.items()])
-    return _test("$eq", value, condition, promoted)
+        return _all([_test(op, reach, operand, promoted) for op, operand in condition.items()])
+    return _test("$eq", reach, condition, promoted)
 
 
 def compile_filter(query: Mapping[str, Any] | None, doc: Column, columns: Mapping[str, Column] | None = None) -> Column:
@@ -113,7 +146,7 @@ def compile_filter(query: Mapping[str, Any] | None, doc: Column, columns: Mappin
         elif key.startswith("$"):
             raise ValueError(f"unknown filter operator {key}")
         elif key in columns:
-            tests.append(_field_tests(columns[key], condition, True))
+            tests.append(_field_tests(_in_column(columns[key]), condition, True))
         else:
-            tests.append(_field_tests(field(doc, *key.split(".")), condition, False))
+            tests.append(_field_tests(_in_document(doc, key), condition, False))
     return _all(tests)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -49,6 +50,11 @@ class DocumentResult:
     unchanged: int
     duplicates: int
     failures: DataFrame
+    seconds: float
+
+    @property
+    def per_second(self) -> float:
+        return (self.inserted + self.updated) / self.seconds if self.seconds else 0.0
 
 
 @dataclass(frozen=True)
@@ -85,13 +91,14 @@ def load_documents(
     """Land a collection. Raises if documents were read and none could be landed."""
     if load.mode not in MODES:
         raise ValueError(f"unknown mode {load.mode!r}")
+    started = time.monotonic()
     create_document_landing(spark, load.table, location)
     cluster = ["document_id"] if load.cluster else None  # the time of the load is the same for all rows
     seen = Observation()
     rows = counted(prepare(load, documents), seen)
     if load.mode == "append":
         append_rows(good_rows(rows), load.table, cluster)
-        return _result(load, documents, seen, inserted=seen.get["read"] - seen.get["failed"])
+        return _result(load, documents, seen, started, inserted=seen.get["read"] - seen.get["failed"])
 
     # The source is read several times from here on: store it once, parsed and with each id once.
     latest = latest_documents(good_rows(rows), load.order_by)
@@ -111,13 +118,14 @@ def load_documents(
         )
         content = updated_rows(target, source).unionByName(added.select(*target.columns))
         replace_collection(content, load.table, load.collection)
-    return _result(load, documents, seen, n_insert, n_update, n_same, duplicates)
+    return _result(load, documents, seen, started, n_insert, n_update, n_same, duplicates)
 
 
 def _result(
     load: DocumentLoad,
     documents: DataFrame,
     seen: Observation,
+    started: float,
     inserted: int = 0,
     updated: int = 0,
     unchanged: int = 0,
@@ -126,6 +134,7 @@ def _result(
     read, failed = seen.get["read"], seen.get["failed"]
     if read and read == failed:
         raise NothingLanded(f"all {read} documents of {load.collection} are bad")
+    bad = failures(prepare(load, documents))
     return DocumentResult(
-        read, failed, inserted, updated, unchanged, duplicates, failures(prepare(load, documents))
+        read, failed, inserted, updated, unchanged, duplicates, bad, time.monotonic() - started
     )

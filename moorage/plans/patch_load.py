@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from moorage.operators.patch import (
     apply_patches,
@@ -17,7 +18,7 @@ from moorage.operators.patch import (
     with_audit,
 )
 from moorage.session import materialise
-from moorage.sinks.tables import write_to
+from moorage.sinks.tables import replace_table, write_to
 from moorage.spec import PatchLoad
 
 
@@ -28,6 +29,13 @@ class PatchResult:
     sample: DataFrame | None = None
 
 
+@dataclass(frozen=True)
+class PatchRun:
+    counters: dict[str, int]
+    started: datetime
+    finished: datetime
+
+
 def patches_of(load: PatchLoad, view: DataFrame) -> DataFrame:
     if not load.field_mapping:
         raise ValueError("field_mapping is required")
@@ -56,6 +64,16 @@ def run_patch(load: PatchLoad, view: DataFrame, target: DataFrame, first_by: str
     return PatchResult(rows, patch_stats(target, patches, load.target_match_field, first_by))
 
 
+def patch_table(spark: SparkSession, load: PatchLoad, table: str, first_by: str | None = None) -> PatchRun:
+    """Run the patches of a view on a table of documents with typed columns, and count."""
+    started = datetime.now(timezone.utc)
+    result = run_patch(load, spark.table(load.view), spark.table(table), first_by)
+    counters = result.stats.first().asDict()  # before the table changes
+    if result.rows is not None:
+        replace_table(result.rows, table)
+    return PatchRun(counters, started, datetime.now(timezone.utc))
+
+
 def send_patches(load: PatchLoad, view: DataFrame, sink: str, options: dict[str, str]) -> None:
     """Hand the patches to a document-store connector.
 

@@ -85,8 +85,7 @@ def replace_collection(rows: DataFrame, table: str, collection: str) -> str:
     old or the new content, and a failed write changes nothing. Returns the new location.
     """
     spark = rows.sparkSession
-    root = table_location(spark, table)
-    location = f"{root}/_versions/{uuid.uuid4().hex}"
+    location = new_version(spark, table)
     columns = [c for c in DOCUMENT_COLUMNS if c != "collection_name"]
     rows.select(*columns).write.parquet(location)
     name = collection.replace("\\", "\\\\").replace("'", "\\'")
@@ -96,6 +95,32 @@ def replace_collection(rows: DataFrame, table: str, collection: str) -> str:
     return location
 
 
+def replace_table(rows: DataFrame, table: str) -> str:
+    """Make ``rows`` the content of an unpartitioned table, which may be an input of ``rows``.
+
+    Written beside the old content like a collection; columns the table lacks are added to it.
+    """
+    spark = rows.sparkSession
+    location = new_version(spark, table)
+    present = {c.lower() for c in spark.table(table).columns}
+    rows.write.parquet(location)
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name.lower() not in present]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return location
+
+
+def new_version(spark: SparkSession, table: str) -> str:
+    """A fresh place for content of a table, below its root and hidden from scans of it.
+
+    Earlier versions stay where they are; removing them is up to the owner of the table.
+    """
+    root = table_location(spark, table).split("/_versions/")[0]
+    return f"{root}/_versions/{uuid.uuid4().hex}"
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
         if row.col_name == "Location":

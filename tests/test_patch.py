@@ -13,9 +13,9 @@ from moorage.operators.patch import (
     patch_stats,
     repeated_keys,
 )
-from moorage.plans.patch_load import dry_run, run_patch, send_patches
+from moorage.plans.patch_load import dry_run, patch_table, run_patch, send_patches
 from moorage.sources.tables import count_rows, source_rows
-from moorage.spec import PatchLoad, parse_field_mapping, preset
+from moorage.spec import PatchLoad, parse_field_mapping, preset, with_options
 from tests.conftest import plan_of, rows_of
 
 
@@ -176,6 +176,22 @@ def test_run(spark, tmp_path):
     assert sent.columns == ["transactionId", "Amount", "recon_ops_updated_at", "recon_ops_version"] and sent.count() == 1
 
 
+def test_run_on_a_table(spark, table):
+    view(spark).createOrReplaceTempView("V")
+    target(spark).write.saveAsTable(table)
+    load = PatchLoad("V", "c", "TRANSACTION_ID", "transactionId", {"AMOUNT": "Amount", "TS": "ts"}, order_by="SEQ")
+    tried = patch_table(spark, with_options(load, {"dry_run": "true"}), table)
+    assert tried.counters == {"records": 8, "batches": 1} and spark.table(table).columns == target(spark).columns
+    run = patch_table(spark, load, table)
+    assert (run.counters["matched"], run.counters["changed"], run.counters["not_found"]) == (1, 1, 1)
+    assert run.finished >= run.started
+    shown = spark.table(table).select("transactionId", "Amount", F.unix_seconds("ts"), "recon_ops_version")
+    expected = [("k1", 2.0, 1735725600, True), ("k2", 2.0, None, None), ("k3", 3.0, None, None), ("k4", 4.0, None, None), (None, 5.0, None, None)]
+    assert rows_of(shown) == sorted(expected, key=repr)
+    again = patch_table(spark, load, table)
+    assert (again.counters["matched"], again.counters["changed"]) == (1, 0)
+
+
 def test_dry_run(spark):
     load = PatchLoad("V", "c", "TRANSACTION_ID", "transactionId", {"AMOUNT": "Amount"}, where="SEQ = 1", batch_size=3)
     result = dry_run(load, view(spark))

@@ -18,6 +18,38 @@ DOCS = [
     {"_id": 8, "v": 9007199254740993},
     {"_id": 9, "v": ""},
 ]
+NESTED = [
+    {"_id": 0, "a": {"b": 1}},
+    {"_id": 1, "a": [{"b": 1}, {"b": 2}]},
+    {"_id": 2, "a": [{"b": [3, 4]}, {"c": 1}]},
+    {"_id": 3, "a": []},
+    {"_id": 4, "a": 1},
+    {"_id": 5},
+    {"_id": 6, "a": {"b": {"c": 7}}},
+    {"_id": 7, "a": [{"b": [{"c": 7}, {"c": 8}]}]},
+]
+
+
+@pytest.mark.parametrize(
+    "query, ids",
+    [
+        ({"a.b": 1}, [0, 1]),
+        ({"a.b": {"$gte": 2}}, [1, 2]),
+        ({"a.b": {"$ne": 1}}, [2, 3, 4, 5, 6, 7]),
+        ({"a.b": {"$in": [2, 4]}}, [1, 2]),
+        ({"a.b": {"$exists": True}}, [0, 1, 2, 6, 7]),
+        ({"a.b": {"$exists": False}}, [3, 4, 5]),
+        ({"a.b.c": 7}, [6, 7]),
+        ({"a.b.c": {"$gt": 7}}, [7]),
+        ({"a.0.b": 1}, [1]),
+        ({"a.1.b": {"$exists": True}}, [1]),
+        ({"a.b": None}, [2, 4, 5]),
+    ],
+)
+def test_paths_go_through_arrays(spark, query, ids):
+    docs = spark.createDataFrame([(json.dumps(d),) for d in NESTED], "x string").select(F.parse_json("x").alias("doc"))
+    found = docs.where(compile_filter(query, F.col("doc"))).select(F.try_variant_get("doc", "$._id", "int"))
+    assert sorted(r[0] for r in found.collect()) == ids
 
 
 @pytest.mark.parametrize(
