@@ -232,18 +232,15 @@ def patch_stats(target: DataFrame, patches: DataFrame, key: str, first_by: str |
         value, old = fitted(F.col("patch")[f.name], f.dataType, kinds[f.name]), F.col(f"stored.`{f.name}`")
         value, old = _orderable(value, kinds[f.name]), _orderable(old, kinds[f.name])
         differs.append(F.col("patch")[f.name].isNotNull() & ~value.eqNullSafe(old))
-    hit = F.col(f"stored.`{key}`").isNotNull()
-    changed = hit & reduce(lambda a, b: a | b, differs)
-    joined = ops.join(stored.alias("stored"), F.col("match_key") == F.col(f"stored.`{key}`"), "left")
-    outcome = joined.agg(
-        F.count("*").alias("ops"), F.count_if(hit).alias("matched"), F.count_if(changed).alias("changed")
-    )
+    hits = stored.alias("stored").join(ops, F.col(f"stored.`{key}`") == F.col("match_key"))
+    hits = hits.groupBy("match_key").agg(F.bool_or(reduce(lambda a, b: a | b, differs)).alias("changed"))
+    outcome = hits.agg(F.count("*").alias("matched"), F.count_if("changed").alias("changed"))
     states = patches.agg(
         F.count("*").alias("records"),
         *[F.count_if(F.col("state") == s).alias(s) for s in (NO_KEY, BLANK_KEY, NO_FIELDS)],
         F.count_if(F.col("state") == OP).alias("all_ops"),
     )
-    return one_row(states, outcome).select(
+    return one_row(states, outcome, ops.agg(F.count("*").alias("ops"))).select(
         "records",
         "matched",
         "changed",

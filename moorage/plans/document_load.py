@@ -96,17 +96,20 @@ def load_documents(
     cluster = ["document_id"] if load.cluster else None  # the time of the load is the same for all rows
     seen = Observation()
     rows = counted(prepare(load, documents), seen)
-    if load.mode == "append":
-        append_rows(good_rows(rows), load.table, cluster)
+    if load.mode == "append" and not cluster:
+        append_rows(good_rows(rows), load.table)
         return _result(load, documents, seen, started, inserted=seen.get["read"] - seen.get["failed"])
 
-    # The source is read several times from here on: store it once, parsed and with each id once.
-    latest = latest_documents(good_rows(rows), load.order_by)
-    source = materialise(latest.select("row_data", "document_id", "document_hash", "collection_name"), "documents")
+    # The documents are read several times from here on: store them once, parsed. The counts are taken in the
+    # tasks that write, before any shuffle, so that a lost executor does not make Spark count rows again.
+    good = materialise(good_rows(rows), "documents")
+    if load.mode == "append":
+        append_rows(good, load.table, cluster)
+        return _result(load, documents, seen, started, inserted=seen.get["read"] - seen.get["failed"])
+    source, duplicates = _each_id_once(good, load.order_by)
     target = in_collection(spark.table(load.table), load.collection)
     counts = {r.action: r.n for r in action_counts(upsert_actions(target, source)).collect()}
     n_insert, n_update, n_same = (counts.get(a, 0) for a in (INSERT, UPDATE, UNCHANGED))
-    duplicates = seen.get["read"] - seen.get["failed"] - n_insert - n_update - n_same
     if load.mode == "append_new" or n_update == 0:
         if n_insert:
             append_rows(inserts(target, source), load.table, cluster)
@@ -121,6 +124,18 @@ def load_documents(
     return _result(load, documents, seen, started, n_insert, n_update, n_same, duplicates)
 
 
+def _each_id_once(good: DataFrame, order_by: str | None) -> tuple[DataFrame, int]:
+    """Source of an upsert, and how many documents gave way to a later one with the same id.
+
+    Documents are only sorted and stored again if ids do repeat.
+    """
+    columns = ["row_data", "document_id", "document_hash", "collection_name"]
+    n = good.agg(F.count("*").alias("rows"), F.count_distinct("document_id").alias("ids")).first()
+    if n.rows == n.ids:
+        return good.select(*columns), 0
+    return materialise(latest_documents(good, order_by).select(*columns), "latest"), n.rows - n.ids
+
+
 def _result(
     load: DocumentLoad,
     documents: DataFrame,

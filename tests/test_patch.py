@@ -139,6 +139,13 @@ def test_only_the_first_of_several_matches_is_touched(spark):
     assert (stats.matched, stats.changed, stats.not_found) == (1, 1, 1)
 
 
+def test_an_operation_with_several_target_rows_counts_once(spark):
+    rows = spark.createDataFrame([("a", "old"), ("a", "new"), ("b", "x")], "k string, v string")
+    patches = build_patches(spark.createDataFrame([("a", "new"), ("z", "new")], "k string, v string"), {"v": "v"}, "k")
+    stats = patch_stats(rows, patches, "k").first()
+    assert (stats.matched, stats.changed, stats.not_found) == (1, 1, 1)
+
+
 def test_keys_and_values_of_another_kind_are_refused(spark):
     numbers = spark.createDataFrame([(1, "x")], "k long, v string")
     words = build_patches(spark.createDataFrame([("1", "y")], "k string, v string"), {"v": "v"}, "k")

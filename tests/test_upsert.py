@@ -82,6 +82,12 @@ def test_upsert_from_nothing_then_again_then_changed(spark, table):
     assert len(content(spark, table)) == 5
 
 
+def test_clustered_append_counts_every_document_once(spark, table):
+    load = DocumentLoad(collection="c", table=table, cluster=True)
+    r = load_documents(spark, load, texts(spark, *MIXED))
+    assert (r.read, r.failed, r.inserted) == (9, 2, 7) and spark.table(table).count() == 7
+
+
 def test_append_new_skips_known_ids(spark, table):
     load_documents(spark, DocumentLoad(collection="c", table=table), texts(spark, {"_id": "a", "x": 1}))
     load = DocumentLoad(collection="c", table=table, mode="append_new")
