@@ -22,7 +22,7 @@ def with_columns(files: DataFrame, columns: list[str], multi_line: bool = True)
     """Selected files with column names given by the caller; headers are not read."""
     return files.select(
         "*",
-        F.array(*[F.lit(c) for c in columns]).alias("names"),
+        F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("names"),
         F.lit(multi_line).alias("multi_line"),
         F.when(F.col("length") == 0, "could_not_read_header").alias("problem"),
     )

@@ -24,7 +24,7 @@ class CsvResult:
 
 
 def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> DataFrame:
-    """Files a load would read.
+    """Files a load would read, stored.
 
     The manifest is stored, so that content is hashed once; files before the cut-off are left out first,
     and never opened.
@@ -41,12 +41,12 @@ def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> D
     )
     candidates = materialise(manifest.where(after_start(load.start_date)), "manifest")
     ledger = loaded_files(spark, read_table(spark, load.table))
-    return select_files(candidates, ledger, load.start_date, load.load_mode, load.max_files, load.latest_of)
+    chosen = select_files(candidates, ledger, load.start_date, load.load_mode, load.max_files, load.latest_of)
+    return materialise(chosen, "files")
 
 
 def name_columns(spark: SparkSession, load: CsvLoad, files: DataFrame) -> DataFrame:
     """The chosen files with their column names, stored."""
-    files = materialise(files, "files")
     if load.columns:
         named = with_columns(files, list(load.columns))
     else:
@@ -67,7 +67,11 @@ def load_csv(spark: SparkSession, load: CsvLoad, root: str | list[str], location
 
     The table is append-only: a changed file is landed again, beside its old rows.
     """
-    files = name_columns(spark, load, choose_files(spark, load, root))
+    files = choose_files(spark, load, root)
+    if files.isEmpty():  # nothing new
+        files = with_columns(files, [])
+        return CsvResult(files, dry_run_report(files) if load.dry_run else load_report(files, None))
+    files = name_columns(spark, load, files)
     if load.dry_run:
         return CsvResult(files, dry_run_report(files))
     create_csv_landing(spark, load.table, location)
