@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Fixed value: widest row the landing takes.
@@ -22,15 +24,25 @@ def first_record(content: Column, encoding: str = "UTF-8") -> Column:
     text = content.cast("string") if encoding.upper() == "UTF-8" else F.decode(content, encoding)
     text = F.ltrim(text, F.lit("\ufeff\r\n"))
     line = F.substring_index(text, "\n", 1)
-    record = F.when(~odd_quotes(line), line).otherwise(
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    record = F.when(~odd, line).otherwise(
         F.regexp_extract(text, r'^(?>[^"\n]+|"[^"]*+")*+', 0)
     )
     return F.rtrim(record, F.lit("\r"))
 
 
-def odd_quotes(line: Column) -> Column:
-    """True if the line leaves a quote open, or closes one."""
-    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+def leaves_quote_open(line: Column, sep: str = ",") -> Column:
+    """Whether a line that starts outside quotes ends inside a quoted cell.
+
+    Doubled quotes are dropped, then every complete cell; a quote that is left opened a cell. A quote
+    counts only at the start of a cell. For a line that starts inside quotes, put a quote before it.
+    """
+    if len(sep) != 1:
+        raise ValueError("files read in splits need a separator of one character")
+    s = re.escape(sep)
+    cell = rf'(?:"[^"]*+"[^{s}]*+|[^"{s}][^{s}]*+)?+(?:{s}|$)'
+    single = F.replace(line, F.lit('""'), F.lit(""))
+    return F.contains(single, F.lit('"')) & F.contains(F.regexp_replace(single, cell, ""), F.lit('"'))
 
 
 def header_names(cells: Column) -> Column:

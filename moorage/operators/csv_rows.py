@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moorage.functions.csv_text import row_object
 from moorage.operators.joins import BROADCAST_BYTES, lookup_join
-from moorage.sources.csv_files import scan_cells
+from moorage.sources.csv_files import LINES, RECORDS, WHOLE, scan_cells, scan_split_records, way_to_read
+from moorage.sources.files import MAX_CONTENT_BYTES
 
 
 def with_headers(files: DataFrame, headers: DataFrame) -> DataFrame:
@@ -18,12 +19,12 @@ def with_headers(files: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
-def with_columns(files: DataFrame, columns: list[str], multi_line: bool = True) -> DataFrame:
+def with_columns(files: DataFrame, columns: list[str], max_content_bytes: int = MAX_CONTENT_BYTES) -> DataFrame:
     """Selected files with column names given by the caller; headers are not read."""
     return files.select(
         "*",
         F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("names"),
-        F.lit(multi_line).alias("multi_line"),
+        way_to_read(files, max_content_bytes).alias("reading"),
         F.when(F.col("length") == 0, "could_not_read_header").alias("problem"),
     )
 
@@ -47,17 +48,17 @@ def landing_rows(
     ).first()
     if total.width is None:
         return None
-    paths: dict[bool, list[str]] = {True: [], False: []}
-    for row in good.select("full_path", "multi_line").toLocalIterator():
-        paths[row.multi_line].append(row.full_path)
-    cells = reduce(
-        DataFrame.unionByName,
-        [
-            scan_cells(spark, some, total.width, skip_header=True, multi_line=multi_line, sep=sep, encoding=encoding)
-            for multi_line, some in paths.items()
-            if some
-        ],
-    )
+    paths: dict[str, list[str]] = {WHOLE: [], LINES: [], RECORDS: []}
+    for row in good.select("full_path", "reading").toLocalIterator():
+        paths[row.reading].append(row.full_path)
+    scans = [
+        scan_cells(spark, paths[way], total.width, skip_header=True, multi_line=way == WHOLE, sep=sep, encoding=encoding)
+        for way in (WHOLE, LINES)
+        if paths[way]
+    ]
+    if paths[RECORDS]:
+        scans.append(scan_split_records(spark, paths[RECORDS], total.width, sep, encoding))
+    cells = reduce(DataFrame.unionByName, scans)
     lookup = good.select("uri", "names", F.col("path").alias("filename"), F.col("content_hash").alias("file_hash"))
     joined = lookup_join(cells, lookup, "uri", total.bytes, broadcast_bytes)
     return joined.select(row_object(F.col("names"), F.col("cells")).alias("row_data"), "filename", "file_hash")

@@ -48,7 +48,7 @@ def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> D
 def name_columns(spark: SparkSession, load: CsvLoad, files: DataFrame) -> DataFrame:
     """The chosen files with their column names, stored."""
     if load.columns:
-        named = with_columns(files, list(load.columns))
+        named = with_columns(files, list(load.columns), load.max_content_bytes or MAX_CONTENT_BYTES)
     else:
         headers = read_headers(
             spark,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from moorage.functions.csv_text import (
     MAX_COLUMNS,
@@ -13,12 +13,15 @@ from moorage.functions.csv_text import (
     first_record,
     header_names,
     header_problem,
-    odd_quotes,
+    leaves_quote_open,
 )
 from moorage.functions.paths import decoded_uri, glob_escaped
 from moorage.session import materialise
 from moorage.sources.files import COMPRESSED, MAX_CONTENT_BYTES
 
+# Ways to read a file: by one task, in splits with a record per line, in splits with records put together.
+WHOLE, LINES, RECORDS = "whole", "lines", "records"
+
 # Quoted empty text stays empty, an unquoted empty cell is NULL, a doubled quote is a quote.
 PARSE = {"quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": "", "mode": "PERMISSIVE"}
 
@@ -55,6 +58,88 @@ def parse_record(record: Column, width: int, sep: str = ",") -> Column:
     return F.when(record.isNotNull() & (record != ""), F.array(*[parsed[f"c{i}"] for i in range(1, width + 1)]))
 
 
+def _split_lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
+    """Lines of files read in splits: ``uri``, where the split starts, place of the line in it, text."""
+    lines = spark.read.option("encoding", encoding).option("lineSep", "\n").text([glob_escaped(p) for p in paths])
+    return lines.select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+
+
+def _state_after(start: Column, fixed: Column, flips: Column) -> Column:
+    """Inside quotes or not, after lines of which the last with a ``fixed`` outcome is known.
+
+    ``fixed`` has the outcome ``state`` and the flips counted ``at`` that line.
+    """
+    return (F.coalesce(fixed["state"], start).cast("int") + flips - F.coalesce(fixed["at"], F.lit(0))) % 2 == 1
+
+
+def split_records(lines: DataFrame, sep: str = ",") -> DataFrame:
+    """Records of files read in splits, put together where quoted cells hold line breaks.
+
+    A line turns the state at its start (inside quotes or not) into the state at its end: it keeps it,
+    flips it, or fixes it whatever it was. The state at any line follows from the last line that fixed it
+    and the flips since, which running windows find within a split, and once more over the splits of a
+    file. No task ever gets more than the lines of one split. Result: ``uri``, ``block`` and ``nth`` of
+    the record, ``record``.
+    """
+    within = Window.partitionBy("uri", "block").orderBy("place")
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    if_outside = leaves_quote_open(F.col("value"), sep)
+    if_inside = leaves_quote_open(F.concat(F.lit('"'), F.col("value")), sep)
+    rows = lines.withColumns({"out": if_outside, "ins": if_inside})
+    rows = rows.withColumn("flips", F.sum((F.col("out") & ~F.col("ins")).cast("int")).over(so_far))
+    fixing = F.when(F.col("out") == F.col("ins"), F.struct(F.col("out").alias("state"), F.col("flips").alias("at")))
+    rows = rows.withColumn("fixed", F.last(fixing, ignorenulls=True).over(so_far)).drop("out", "ins")
+
+    # the state at the start of each split, from one row per split
+    splits = rows.groupBy("uri", "block").agg(F.max_by(F.struct("flips", "fixed"), "place").alias("end"))
+    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(
+        "uri", "block", F.col("end.flips").alias("flips"), F.col("end.fixed").alias("fixed")
+    ).withColumn("flips_before", F.coalesce(F.sum("flips").over(before), F.lit(0)))
+    at_split = F.when(
+        F.col("fixed").isNotNull(),
+        F.struct(F.col("fixed.state").alias("state"), (F.col("flips_before") + F.col("fixed.at")).alias("at")),
+    )
+    splits = splits.withColumn("fixed_before", F.last(at_split, ignorenulls=True).over(before)).select(
+        "uri", "block", _state_after(F.lit(False), F.col("fixed_before"), F.col("flips_before")).alias("start")
+    )
+
+    rows = rows.join(splits, ["uri", "block"])
+    rows = rows.withColumn("inside", _state_after(F.col("start"), F.col("fixed"), F.col("flips")))
+    begins = ~F.coalesce(F.lag("inside").over(within), F.col("start"))
+    rows = rows.withColumn("begins", begins).select("uri", "block", "place", "value", "begins")
+    rows = rows.withColumn("nth", F.sum(F.col("begins").cast("int")).over(so_far))
+    rows = rows.withColumn("alone", F.col("begins") & F.coalesce(F.lead("begins").over(within), F.lit(False)))
+    single = rows.where("alone").select("uri", "block", "nth", F.col("value").alias("record"))
+
+    # lines before the first record of a split belong to the last record of an earlier one
+    counts = rows.groupBy("uri", "block").agg(F.max("nth").alias("records"))
+    last = F.when(F.col("records") > 0, F.struct(F.col("block").alias("block"), F.col("records").alias("nth")))
+    counts = counts.select("uri", "block", F.last(last, ignorenulls=True).over(before).alias("owner"))
+    rest = rows.where(~F.col("alone")).join(counts, ["uri", "block"])
+    own = F.struct("block", "nth")
+    rest = rest.withColumn("owner", F.when(F.col("nth") > 0, own).otherwise(F.col("owner")))
+    pieces = F.sort_array(F.collect_list(F.struct("block", "place", "value")))
+    joined = rest.groupBy("uri", F.col("owner.block").alias("block"), F.col("owner.nth").alias("nth")).agg(
+        F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record")
+    )
+    return single.unionByName(joined).withColumn("record", F.rtrim("record", F.lit("\r")))
+
+
+def scan_split_records(
+    spark: SparkSession, paths: list[str], width: int, sep: str = ",", encoding: str = "UTF-8"
+) -> DataFrame:
+    """Rows as ``scan_cells`` gives them without the header, of large files with line breaks in cells."""
+    records = split_records(_split_lines(spark, paths, encoding), sep)
+    records = records.where((F.trim("record") != "") & ~((F.col("block") == 0) & (F.col("nth") == 1)))
+    return records.select("uri", parse_record(F.col("record"), width, sep).alias("cells"))
+
+
 def read_headers(
     spark: SparkSession,
     files: DataFrame,
@@ -63,16 +148,16 @@ def read_headers(
     max_columns: int = MAX_COLUMNS,
     max_content_bytes: int = MAX_CONTENT_BYTES,
 ) -> DataFrame:
-    """Column names of every file of a manifest, whether it may be split, and why it cannot be loaded.
+    """Column names of every file of a manifest, how to read it, and why it cannot be loaded.
 
     No file is read in full for its first record if there is another way: the record comes from the
     manifest, from the content of a small file, or from the first split of a large one. Only compressed
-    files, and large ones with a line break inside their header, take a CSV scan of their own.
+    files take a CSV scan of their own.
     """
     width = max_columns + 1
     known = files.where(F.col("header").isNotNull() | (F.col("length") == 0))
     parts = [
-        known.select("uri", parse_record(F.col("header"), width, sep).alias("cells"), F.lit(True).alias("multi_line"))
+        known.select("uri", parse_record(F.col("header"), width, sep).alias("cells"), F.lit(WHOLE).alias("reading"))
     ]
     route = (
         F.when(F.col("full_path").rlike(COMPRESSED), "scan")
@@ -90,11 +175,17 @@ def read_headers(
     if paths["scan"]:
         parts.append(_scanned_headers(spark, paths["scan"], width, sep, encoding))
     headers = reduce(DataFrame.unionByName, parts)
-    return headers.select("uri", header_names(F.col("cells")).alias("names"), "multi_line").withColumn(
+    return headers.select("uri", header_names(F.col("cells")).alias("names"), "reading").withColumn(
         "problem", header_problem(F.col("names"), max_columns)
     )
 
 
+def way_to_read(files: DataFrame, max_content_bytes: int = MAX_CONTENT_BYTES) -> Column:
+    """How to read files whose lines nobody has looked at."""
+    whole = files["full_path"].rlike(COMPRESSED) | (files["length"] <= max_content_bytes)
+    return F.when(whole, WHOLE).otherwise(RECORDS)
+
+
 def _content_headers(spark: SparkSession, paths: list[str], width: int, sep: str, encoding: str) -> DataFrame:
     """Header of files small enough to be taken into memory."""
     content = spark.read.format("binaryFile").load([glob_escaped(p) for p in paths])
@@ -102,46 +193,45 @@ def _content_headers(spark: SparkSession, paths: list[str], width: int, sep: str
     return content.select(
         F.col("_metadata.file_path").alias("uri"),
         parse_record(record, width, sep).alias("cells"),
-        F.lit(True).alias("multi_line"),
+        F.lit(WHOLE).alias("reading"),
     )
 
 
 def _split_headers(spark: SparkSession, paths: list[str], width: int, sep: str, encoding: str) -> DataFrame:
     """Header of large files, read in splits.
 
-    The first row of a task whose split starts the file is the header: one comparison per line, no
-    aggregation over the text. Lines with an odd number of quotes show that the file must not be split.
+    A scan keeps the first line of each task, if its split starts the file, and lines that leave a quote
+    open. Without such a line every line is a record and the first one the header. In files that have
+    some, records of the first split are put together.
     """
-    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    lines = (
-        spark.read.option("encoding", encoding)
-        .text([glob_escaped(p) for p in paths])
-        .select(
-            F.col("_metadata.file_path").alias("uri"),
-            ((in_task == 0) & (F.col("_metadata.file_block_start") == 0)).alias("first"),
-            odd_quotes(F.col("value")).alias("odd"),
-            "value",
-        )
-        .where(F.col("first") | F.col("odd"))
-    )
-    usable = F.col("first") & ~F.col("odd") & (F.trim("value") != "")
-    found = materialise(
-        lines.groupBy("uri").agg(
-            F.max(F.when(usable, F.col("value"))).alias("header"), F.bool_or("odd").alias("multi_line")
-        ),
-        "headers",
-    )
+    first_in_task = F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = _split_lines(spark, paths, encoding)
+    kept = lines.select(
+        "uri",
+        ((F.col("block") == 0) & first_in_task).alias("first"),
+        leaves_quote_open(F.col("value"), sep).alias("open"),
+        F.ltrim(F.rtrim("value", F.lit("\r")), F.lit("\ufeff")).alias("value"),
+    ).where(F.col("first") | F.col("open"))
+    usable = F.col("first") & ~F.col("open") & (F.trim("value") != "")
+    reading = F.when(F.bool_or("open"), RECORDS).otherwise(LINES)
+    found = kept.groupBy("uri").agg(F.max(F.when(usable, F.col("value"))).alias("header"), reading.alias("reading"))
+    found = materialise(found, "headers")
     complete = found.where(F.col("header").isNotNull())
     done = {r.path for r in complete.select(decoded_uri(F.col("uri")).alias("path")).toLocalIterator()}
-    headers = complete.select("uri", parse_record(F.col("header"), width, sep).alias("cells"), "multi_line")
+    headers = complete.select("uri", parse_record(F.col("header"), width, sep).alias("cells"), "reading")
     rest = [p for p in paths if p not in done]
     if rest:
-        headers = headers.unionByName(_scanned_headers(spark, rest, width, sep, encoding))
+        start = _split_lines(spark, rest, encoding).where(F.col("block") == 0)
+        records = split_records(start, sep).where(F.col("nth") == 1)
+        record = F.ltrim("record", F.lit("\ufeff"))
+        headers = headers.unionByName(
+            records.select("uri", parse_record(record, width, sep).alias("cells"), F.lit(RECORDS).alias("reading"))
+        )
     return headers
 
 
 def _scanned_headers(spark: SparkSession, paths: list[str], width: int, sep: str, encoding: str) -> DataFrame:
-    """Header by a CSV scan, each file read by one task."""
+    """Header by a CSV scan, each file read by one task, as it is compressed."""
     rows = scan_cells(spark, paths, width, skip_header=False, multi_line=True, sep=sep, encoding=encoding)
     first = rows.withColumn("at", F.monotonically_increasing_id()).groupBy("uri").agg(F.min_by("cells", "at").alias("cells"))
-    return first.withColumn("multi_line", F.lit(True))
+    return first.withColumn("reading", F.lit(WHOLE))
