@@ -83,9 +83,17 @@ def stringify_id(doc: Column) -> Column:
     """Document whose ``_id``, if it has a usable one, is text."""
     others = F.map_filter(object_entries(doc), lambda k, _: k != "_id")
     rebuilt = F.to_variant_object(F.map_concat(others, F.create_map(F.lit("_id"), as_variant(document_id(doc)))))
-    raw = field(doc, "_id")
-    as_it_is = raw.isNull() | F.is_variant_null(raw) | (F.schema_of_variant(raw) == "STRING")
-    return F.when(as_it_is, doc).otherwise(rebuilt)
+    return once(field(doc, "_id"), lambda raw: F.when(_needs_no_text(raw), doc).otherwise(rebuilt))
+
+
+def _needs_no_text(raw_id: Column) -> Column:
+    return raw_id.isNull() | F.is_variant_null(raw_id) | (F.schema_of_variant(raw_id) == "STRING")
+
+
+def text_id(doc: Column) -> Column:
+    """The ``_id`` of a document as it is stored: text, if it has a usable one."""
+    as_text = as_variant(document_id(doc))
+    return once(field(doc, "_id"), lambda raw: F.when(_needs_no_text(raw), raw).otherwise(as_text))
 
 
 def _tree(paths: Iterable[str]) -> dict:
@@ -103,12 +111,12 @@ def _tree(paths: Iterable[str]) -> dict:
     return root
 
 
-def _kept(doc: Column, at: tuple[str, ...], node: dict) -> Column:
+def _kept(doc: Column, at: tuple[str, ...], node: dict, replaced: Mapping[str, Column] | None = None) -> Column:
     pairs: list[Column] = []
     for key, below in node.items():
         here = (*at, key)
         if below is None:
-            value = field(doc, *here)
+            value = replaced[key] if replaced and key in replaced else field(doc, *here)
             if at:  # a null below the top level counts as missing
                 value = once(value, lambda v: F.when(~F.is_variant_null(v), v))
         else:
@@ -117,16 +125,17 @@ def _kept(doc: Column, at: tuple[str, ...], node: dict) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
 
-def project_paths(doc: Column, paths: Iterable[str] | None) -> Column:
-    """Document with only the given dotted paths, and ``_id``.
+def project_paths(doc: Column, paths: Iterable[str] | None, id_as_text: bool = False) -> Column:
+    """Document with only the given dotted paths, and ``_id``, which is made text on request.
 
     Top-level fields stay even when null, deeper ones only when not null. A field asked for whole wins
     over paths below it. No paths means the whole document.
     """
     paths = list(paths or [])
     if not paths:
-        return doc
-    return F.to_variant_object(_kept(doc, (), _tree([*paths, "_id"])))
+        return stringify_id(doc) if id_as_text else doc
+    replaced = {"_id": text_id(doc)} if id_as_text else {}
+    return F.to_variant_object(_kept(doc, (), _tree([*paths, "_id"]), replaced))
 
 
 def set_fields(doc: Column, values: Mapping[str, Column]) -> Column:

@@ -13,7 +13,6 @@ from moorage.functions.documents import (
     is_object_text,
     project_paths,
     strict_json,
-    stringify_id,
 )
 from moorage.functions.predicates import compile_filter
 
@@ -26,7 +25,6 @@ MESSAGES = {
     "not_an_object": "JSON value is not an object",
     "missing_id": "document has no usable _id",
 }
-FAILURE_COLUMNS = ["doc_id", "error_type", "error_message", "json_sample"]
 
 
 def parse_documents(texts: DataFrame, raw: str = "raw") -> DataFrame:
@@ -74,9 +72,9 @@ def landing_columns(
 
     The document is projected, its id made text, and then hashed. ``keep`` names columns to carry along.
     """
-    rows = documents.withColumn("row_data", project_paths(F.col("doc"), fields))
-    rows = rows.withColumn("document_id", document_id(F.col("row_data")))
-    rows = rows.withColumn("row_data", stringify_id(F.col("row_data")))
+    rows = documents.withColumns(
+        {"document_id": document_id(F.col("doc")), "row_data": project_paths(F.col("doc"), fields, id_as_text=True)}
+    )
     error = F.col("error_type")
     if need_id:
         no_id = F.coalesce(F.col("document_id"), F.lit("")) == ""

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Partitions a load may have; row ids of one load interleave this many sequences.
 ID_STRIDE = 1 << 22
 
-CSV_COLUMNS = ["row_id", "row_data", "filename", "file_hash", "load_timestamp"]
 DOCUMENT_COLUMNS = ["row_id", "row_data", "document_id", "document_hash", "load_timestamp", "collection_name"]
 
 
@@ -130,16 +129,16 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def merge_into(source: DataFrame, table: str) -> None:
     """Hash-gated upsert on a table format that has MERGE. ``source`` must have each key once."""
-    gate = F.expr("target.document_hash IS NULL OR target.document_hash <> source.document_hash")
-    on = F.expr("target.document_id = source.document_id AND target.collection_name = source.collection_name")
-    changed = {c: F.col(f"source.{c}") for c in ("row_data", "document_hash", "load_timestamp")}
+    target = table.split(".")[-1]
+    same = " AND ".join(f"{target}.{c} = source.{c}" for c in ("document_id", "collection_name"))
+    stale = f"{target}.document_hash IS NULL OR {target}.document_hash <> source.document_hash"
     (
         source.alias("source")
-        .mergeInto(f"{table} AS target", on)
-        .whenMatched(gate)
-        .update(changed)
+        .mergeInto(table, F.expr(same))
+        .whenMatched(F.expr(stale))
+        .update({c: F.col(f"source.{c}") for c in ("row_data", "document_hash", "load_timestamp")})
         .whenNotMatched()
-        .insertAll()
+        .insert({c: F.col(f"source.{c}") for c in source.columns})
         .merge()
     )
 

@@ -13,11 +13,6 @@ MAX_CONTENT_BYTES = 128 * 1024 * 1024
 EMPTY_CONTENT = "d41d8cd98f00b204e9800998ecf8427e"  # MD5 of no bytes
 COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|xz)$"
 
-MANIFEST_SCHEMA = (
-    "path string, full_path string, uri string, length bigint, content_hash string, "
-    "file_date date, merchant string, header string"
-)
-
 
 def list_files(
     spark: SparkSession,

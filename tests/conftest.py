@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import sys
-import tempfile
+import uuid
 from pathlib import Path
 
 import pytest
@@ -36,7 +36,7 @@ def lake(tmp_path):
 @pytest.fixture
 def table():
     """A table name not used before."""
-    return f"t_{next(tempfile._get_candidate_names())}".lower()
+    return f"t_{uuid.uuid4().hex}"
 
 
 def plan_of(df) -> str:

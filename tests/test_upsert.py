@@ -14,8 +14,8 @@ from moorage.operators.merge import (
 )
 from moorage.operators.profile import failure_counts, failure_examples, failure_report
 from moorage.plans.document_load import NothingLanded, dry_run, load_documents, prepare
-from moorage.sinks.tables import clustered, row_ids, table_location
-from moorage.sources.collections import as_documents, json_lines
+from moorage.sinks.tables import clustered, create_document_landing, merge_into, row_ids, table_location
+from moorage.sources.collections import as_documents, documents_from, json_lines
 from moorage.sources.tables import collection_counts, existing_ids, read_table, sample_rows
 from moorage.spec import DocumentLoad
 from tests.conftest import plan_of, rows_of
@@ -272,6 +272,19 @@ def test_clustered_rows_split_a_hot_key(spark):
     assert sum(sizes) == 3000 and max(sizes) < 1000 and laid_out.columns == ["k", "id"]
 
 
+def test_merge_into_is_refused_only_by_the_table_format(spark, table):
+    create_document_landing(spark, table)
+    arriving = source(spark, "a").withColumn("load_timestamp", F.localtimestamp()).withColumn("row_id", F.lit(1).cast("long"))
+    with pytest.raises(Exception, match="MERGE|row-level"):
+        merge_into(arriving, table)
+
+
+def test_typed_source_by_format(spark, tmp_path):
+    spark.sql("SELECT 1 AS _id, DATE'2025-01-02' AS day").write.parquet(str(tmp_path / "p"))
+    docs = documents_from(spark, "parquet", {"path": str(tmp_path / "p")})
+    assert docs.select(F.to_json("doc")).first()[0] == '{"_id":1,"day":"2025-01-02"}'
+
+
 def test_row_ids(spark):
     ids = [r[0] for r in spark.range(0, 1000, 1, 7).select(row_ids(100)).collect()]
     assert len(set(ids)) == 1000 and min(ids) == 100
