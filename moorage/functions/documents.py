@@ -83,7 +83,7 @@ def stringify_id(doc: Column) -> Column:
     """Document whose ``_id``, if it has a usable one, is text."""
     others = F.map_filter(object_entries(doc), lambda k, _: k != "_id")
     rebuilt = F.to_variant_object(F.map_concat(others, F.create_map(F.lit("_id"), as_variant(document_id(doc)))))
-    return once(field(doc, "_id"), lambda raw: F.when(_needs_no_text(raw), doc).otherwise(rebuilt))
+    return F.when(_needs_no_text(field(doc, "_id")), doc).otherwise(rebuilt)
 
 
 def _needs_no_text(raw_id: Column) -> Column:
