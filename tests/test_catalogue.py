@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from moorage.catalogue import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +21,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
