@@ -6,9 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moorage.llm.common import table
+from moorage.llm.exact_search import top_products
+from moorage.llm.language import identify_by_fold
+from moorage.llm.licences import scan_licences
 from moorage.llm.mixing import mixture_report
 from moorage.llm.pieces import encode_documents
+from moorage.llm.token_files import token_report, with_starts, write_tokens
 from moorage.llm.url_rules import judge_urls
+from moorage.llm.vantage_tree import near_neighbours
+from moorage.session import materialise
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -19,6 +25,31 @@ URL_RULES = [
 ]
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_by_fold(table(spark, sf_dir, "documents"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return with_starts(materialise(token_report(spark, files), "token-report"))
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+
+
+def op5_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(vectors(spark, sf_dir), F.col("vec_id") % 50 == 0, 5)
+
+
+def op6_near_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_neighbours(vectors(spark, sf_dir), F.col("vec_id") % 20 == 0, 20)
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
@@ -44,12 +75,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
+    "op3_language": op3_language,
+    "op4_token_files": op4_token_files,
+    "op5_exact_search": op5_exact_search,
+    "op6_near_neighbours": op6_near_neighbours,
     "op7_url_filters": op7_url_filters,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_mixing": op10_mixing,
 }
 
 SQL = {
+    "op5_exact_search": """
+        WITH whole AS (
+                 SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+                 FROM embeddings
+                 WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                       AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+             scored AS (
+                 SELECT q.vec_id AS query_id, c.vec_id,
+                        list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+                 FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+             ranked AS (
+                 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op7_url_filters": """
         WITH rules(host, path, verdict) AS (VALUES
                  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
