@@ -14,6 +14,7 @@ from moorage.llm.pieces import encode_documents
 from moorage.llm.token_files import token_report, with_starts, write_tokens
 from moorage.llm.url_rules import judge_urls
 from moorage.llm.vantage_tree import near_neighbours
+from moorage.llm.warc import capture_index, write_archives
 from moorage.session import materialise
 
 URL_RULES = [
@@ -29,6 +30,15 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no time of capture: the one given follows from the id."""
+    captured = F.timestamp_seconds(1_700_000_000 + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(100_000_000)))
+    pages = table(spark, sf_dir, "pages")
+    rows = pages.select(F.col("page_id").alias("record_id"), "url", captured.alias("captured"), F.col("html").alias("payload"))
+    index = capture_index(spark, write_archives(rows))
+    return index.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_by_fold(table(spark, sf_dir, "documents"))
 
@@ -76,6 +86,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licences": op1_licences,
+    "op2_warc": op2_warc,
     "op3_language": op3_language,
     "op4_token_files": op4_token_files,
     "op5_exact_search": op5_exact_search,
@@ -86,6 +97,16 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_warc": """
+        WITH held AS (
+                 SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+             firsts AS (
+                 SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first
+                 FROM held)
+        SELECT page_id, payload_bytes, sha256(payload) AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM firsts""",
     "op5_exact_search": """
         WITH whole AS (
                  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
