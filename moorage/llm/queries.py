@@ -10,6 +10,7 @@ from moorage.llm.exact_search import top_products
 from moorage.llm.language import identify_by_fold
 from moorage.llm.licences import scan_licences
 from moorage.llm.mixing import mixture_report
+from moorage.llm.ngram_join import ngram_components
 from moorage.llm.pieces import encode_documents
 from moorage.llm.token_files import token_report, with_starts, write_tokens
 from moorage.llm.url_rules import judge_urls
@@ -80,6 +81,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_report(table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,7 @@ QUERIES = {
     "op6_near_neighbours": op6_near_neighbours,
     "op7_url_filters": op7_url_filters,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_ngram_join": op9_ngram_join,
     "op10_mixing": op10_mixing,
 }
 
