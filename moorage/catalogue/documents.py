@@ -11,7 +11,7 @@ from moorage.operators.profile import export_estimate, failure_report, sample_do
 from moorage.plans.document_load import load_documents, prepare
 from moorage.sources.collections import as_documents
 from moorage.sources.tables import collection_counts, dataset_counts, existing_ids, sample_rows
-from moorage.spec import DocumentLoad
+from moorage.spec import DocumentLoad, with_options
 
 
 def variant_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +146,16 @@ def doc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doc_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that is told by option to write nothing."""
+    name, location = scratch_table(spark)
+    load = with_options(DocumentLoad(collection="events", table=name), {"dry_run": "true"})
+    result = load_documents(spark, load, damaged_texts(spark, sf_dir), location)
+    failed = result.failures.agg(F.count("*").alias("failed"))
+    there = F.lit(spark.catalog.tableExists(name)).alias("table_exists")
+    return result.estimate.select("to_export").crossJoin(failed).select("to_export", "failed", there)
+
+
 def doc_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events appended after a first load without the views: only the views are added."""
     name, location = scratch_table(spark)
@@ -218,6 +228,7 @@ CONVERSATION_ROWS = """
     FROM conversations"""
 
 QUERIES = {
+    "doc_dry_run": doc_dry_run,
     "variant_extract": variant_extract,
     "doc_land": doc_land,
     "doc_clean_types": doc_clean_types,
@@ -236,6 +247,10 @@ QUERIES = {
 }
 
 SQL = {
+    "doc_dry_run": """
+        SELECT count_if(event_id % 10 NOT IN (1, 2, 3, 4, 6)) AS to_export,
+               count_if(event_id % 10 IN (1, 2, 3, 4, 6)) AS failed, false AS table_exists
+        FROM events""",
     "variant_extract": """
         SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS sum_k, max(k) AS max_k
         FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)

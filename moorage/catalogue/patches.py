@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moorage.catalogue.tables import table, text
+from moorage.catalogue.tables import scratch_table, table, text
 from moorage.functions.documents import canonical_json, project_paths
 from moorage.functions.values import fee_list
 from moorage.operators.patch import (
@@ -15,7 +15,7 @@ from moorage.operators.patch import (
     patch_sample,
     patch_stats,
 )
-from moorage.plans.patch_load import dry_run
+from moorage.plans.patch_load import dry_run, patch_table
 from moorage.sources.tables import count_rows, source_rows
 from moorage.spec import PatchLoad, parse_field_mapping
 
@@ -133,6 +133,29 @@ def patch_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "place", "priority")
 
 
+def patch_fees_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on a table: the first adds the list of fees, the second changes some of them."""
+    name, location = scratch_table(spark)
+    orders = table(spark, sf_dir, "orders")
+    orders.select("o_orderkey", "o_orderstatus").write.option("path", location).saveAsTable(name)
+    for run, rows in enumerate([orders, orders.where(F.col("o_orderkey") % 3 == 0)]):
+        amount = F.concat(F.lit('[{"feeAmount":"'), text(F.col("o_custkey") + run), F.lit('.5"}]'))
+        view = f"{name}_view_{run}"
+        rows.select(F.col("o_orderkey").alias("ORDER_KEY"), amount.alias("FEES")).createOrReplaceTempView(view)
+        patch_table(spark, PatchLoad(view, "orders", "ORDER_KEY", "o_orderkey", {"FEES": "fees"}), name)
+    fee = F.try_variant_get(F.get("fees", F.lit(0)), "$.feeAmount", "double")
+    return spark.table(name).select("o_orderkey", "o_orderstatus", fee.alias("fee"))
+
+
+def patch_date_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key of type DATE that many rows lack."""
+    orders = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    view = orders.where(F.dayofmonth("day") > 3).groupBy(F.col("day").alias("DAY")).agg(F.count("*").alias("N"))
+    target = orders.select("o_orderkey", F.when(F.dayofmonth("day") > 2, F.col("day")).alias("day"))
+    rows = apply_patches(target, build_patches(view, {"N": "n"}, "DAY"), "day")
+    return rows.select("o_orderkey", text("day").alias("day"), "n")
+
+
 def patch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patches set into documents, at a nested path."""
     orders = _orders(spark, sf_dir)
@@ -189,6 +212,8 @@ KEYED = f"""
            ELSE CAST(k AS VARCHAR) END AS key, qty, status, k AS seq FROM ({TOTALS})"""
 
 QUERIES = {
+    "patch_fees_twice": patch_fees_twice,
+    "patch_date_key": patch_date_key,
     "patch_source_scan": patch_source_scan,
     "patch_source_count": patch_source_count,
     "patch_fields": patch_fields,
@@ -203,6 +228,14 @@ QUERIES = {
 }
 
 SQL = {
+    "patch_fees_twice": """
+        SELECT o_orderkey, o_orderstatus, o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END + 0.5::DOUBLE AS fee
+        FROM orders""",
+    "patch_date_key": """
+        WITH days AS (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders),
+             counts AS (SELECT d, count(*) AS n FROM days WHERE day(d) > 3 GROUP BY d)
+        SELECT o_orderkey, CASE WHEN day(days.d) > 2 THEN CAST(days.d AS VARCHAR) END AS day, n
+        FROM days LEFT JOIN counts ON days.d = counts.d""",
     "patch_source_scan": f"SELECT o_orderkey, o_orderpriority FROM orders WHERE {VIEW_FILTER}",
     "patch_source_count": f"SELECT count(*) AS n_rows FROM orders WHERE {VIEW_FILTER}",
     "patch_fields": """

@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from moorage.functions.documents import field
 
@@ -89,8 +89,8 @@ def _in_column(column: Column) -> Reach:
     return lambda test: test(column)
 
 
-def _test(op: str, reach: Reach, operand: Any, promoted: bool) -> Column:
-    holds = _holds_typed if promoted else _holds
+def _test(op: str, reach: Reach, operand: Any, kind: T.DataType | None) -> Column:
+    holds = _holds_typed(kind) if kind else _holds
     if op in ("$eq", "$gt", "$gte", "$lt", "$lte"):
         return reach(lambda v: holds(op, v, operand))
     if op == "$ne":
@@ -103,15 +103,32 @@ def _test(op: str, reach: Reach, operand: Any, promoted: bool) -> Column:
         there = reach(lambda v: v.isNotNull())
         return there if operand else ~there
     if op == "$not":
-        return ~_field_tests(reach, operand, promoted)
+        return ~_field_tests(reach, operand, kind)
     raise ValueError(f"unknown filter operator {op}")
 
 
-def _holds_typed(op: str, value: Column, operand: Any) -> Column:
+def _is_of_kind(kind: T.DataType, operand: Any) -> bool:
+    """Whether a column of this type holds values that can be compared with the operand."""
+    if isinstance(operand, bool):
+        return isinstance(kind, T.BooleanType)
+    if isinstance(operand, (int, float)):
+        return isinstance(kind, T.NumericType)
+    if isinstance(operand, str):
+        return isinstance(kind, T.StringType)
+    raise TypeError(f"cannot compare documents with {type(operand).__name__}")
+
+
+def _holds_typed(kind: T.DataType) -> Callable[[str, Column, Any], Column]:
     """The same on a column of its own, left bare so that it can reach the scan."""
-    if operand is None:
-        return value.isNull() if op in ("$eq", "$gte", "$lte") else F.lit(False)
-    return value.isNotNull() & _compare(op, value, F.lit(operand))
+
+    def holds(op: str, value: Column, operand: Any) -> Column:
+        if operand is None:
+            return value.isNull() if op in ("$eq", "$gte", "$lte") else F.lit(False)
+        if not _is_of_kind(kind, operand):
+            return F.lit(False)
+        return value.isNotNull() & _compare(op, value, F.lit(operand))
+
+    return holds
 
 
 def _any(tests: list[Column]) -> Column:
@@ -122,17 +139,20 @@ def _all(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
 
 
-def _field_tests(reach: Reach, condition: Any, promoted: bool) -> Column:
+def _field_tests(reach: Reach, condition: Any, kind: T.DataType | None) -> Column:
     if isinstance(condition, Mapping) and any(k.startswith("$") for k in condition):
-        return _all([_test(op, reach, operand, promoted) for op, operand in condition.items()])
-    return _test("$eq", reach, condition, promoted)
+        return _all([_test(op, reach, operand, kind) for op, operand in condition.items()])
+    return _test("$eq", reach, condition, kind)
+
+
+Columns = Mapping[str, tuple[Column, T.DataType]]
 
 
-def compile_filter(query: Mapping[str, Any] | None, doc: Column, columns: Mapping[str, Column] | None = None) -> Column:
+def compile_filter(query: Mapping[str, Any] | None, doc: Column, columns: Columns | None = None) -> Column:
     """Condition for a filter dict over a VARIANT document.
 
-    ``columns`` names fields that the table also keeps as columns of their own; tests on them are pushed
-    to the scan instead of being read from the document.
+    ``columns`` names fields that the table also keeps as columns of their own, with their types; tests on them are
+    pushed to the scan instead of being read from the document.
     """
     columns = columns or {}
     tests = []
@@ -146,7 +166,8 @@ def compile_filter(query: Mapping[str, Any] | None, doc: Column, columns: Mappin
         elif key.startswith("$"):
             raise ValueError(f"unknown filter operator {key}")
         elif key in columns:
-            tests.append(_field_tests(_in_column(columns[key]), condition, True))
+            column, kind = columns[key]
+            tests.append(_field_tests(_in_column(column), condition, kind))
         else:
-            tests.append(_field_tests(_in_document(doc, key), condition, False))
+            tests.append(_field_tests(_in_document(doc, key), condition, None))
     return _all(tests)

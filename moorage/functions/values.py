@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from moorage.functions.documents import as_variant, field, json_ready, object_entries, strict_json
+from moorage.functions.documents import as_variant, field, json_ready, object_entries, once, strict_json
 
 # The list field and the number inside its objects.
 FEES_FIELD = "fees"
@@ -75,10 +75,14 @@ def fee_list(value: Column, kind: T.DataType) -> Column:
         parsed = F.to_variant_object(ready) if nested else as_variant(ready)
         present = value.isNotNull()
     nothing = F.array().cast("array<variant>")
-    items = (
-        F.when(parsed.isNull(), nothing)
-        .when(F.schema_of_variant(parsed).startswith("ARRAY"), F.try_variant_get(parsed, "$", "array<variant>"))
-        .when(_is_empty(parsed), nothing)
-        .otherwise(F.array(parsed))
-    )
-    return F.when(present, F.transform(items, _with_amount))
+
+    def items(parsed: Column) -> Column:
+        listed = (
+            F.when(parsed.isNull(), nothing)
+            .when(F.schema_of_variant(parsed).startswith("ARRAY"), F.try_variant_get(parsed, "$", "array<variant>"))
+            .when(_is_empty(parsed), nothing)
+            .otherwise(F.array(parsed))
+        )
+        return F.transform(listed, _with_amount)
+
+    return F.when(present, once(parsed, items))

@@ -22,21 +22,28 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, lookup_bytes: int,
     return salted.join(repeated, [key, "salt"]).drop("salt")
 
 
+SCALARS = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def left_join_spread(rows: DataFrame, lookup: DataFrame, key: str, lookup_key: str, *more: Column) -> DataFrame:
-    """Left join in which rows without a key are spread over the tasks.
+    """Left join in which rows without a key, or with empty text for one, are spread over the tasks.
 
-    They match nothing, yet would all be sent to one task. For the shuffle they get a number made from
-    the rest of the row in place of the key; that it might equal a real key does not matter, since the
-    join also asks for the key to be there. ``more`` are further conditions.
+    They match nothing, yet would all be sent to one task. So the join is on the key and a salt: 0 wherever there
+    is a key, else a number made from the scalar columns of the row. ``more`` are further conditions.
     """
-    kind = rows.schema[key].dataType
-    hashable = [F.col(f"`{f.name}`") for f in rows.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))]
-    stand_in = F.pmod(F.xxhash64(*hashable), F.lit(1000)).try_cast(kind)
-    keyed = rows.withColumn("join_key", F.coalesce(F.col(f"`{key}`"), stand_in))
-    on = (F.col("join_key") == F.col(lookup_key)) & F.col(f"`{key}`").isNotNull()
+    value = F.col(f"`{key}`")
+    missing = value.isNull()
+    if isinstance(rows.schema[key].dataType, T.StringType):
+        missing = missing | (value == "")
+    scalars = [F.col(f"`{f.name}`") for f in rows.schema if isinstance(f.dataType, SCALARS)]
+    salt = F.when(missing, F.pmod(F.xxhash64(F.lit(0), *scalars), F.lit(1000)) + 1).otherwise(F.lit(0))
+    salted = rows.withColumn("join_salt", salt.cast("int"))
+    # Always 0, but no constant, which the optimiser would take out of the join key.
+    found = lookup.withColumn("lookup_salt", F.pmod(F.xxhash64(lookup_key), F.lit(1)).cast("int"))
+    on = (value == F.col(lookup_key)) & (F.col("join_salt") == F.col("lookup_salt"))
     for condition in more:
         on = on & condition
-    return keyed.join(lookup, on, "left").drop("join_key")
+    return salted.join(found, on, "left").drop("join_salt", "lookup_salt")
 
 
 def one_row(*parts: DataFrame) -> DataFrame:

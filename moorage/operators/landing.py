@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from moorage.functions.documents import (
     canonical_json,
@@ -14,7 +14,7 @@ from moorage.functions.documents import (
     project_paths,
     strict_json,
 )
-from moorage.functions.predicates import compile_filter
+from moorage.functions.predicates import Columns, compile_filter
 
 # Characters of a bad document and of a message that are kept.
 SAMPLE_CHARS = 200
@@ -46,7 +46,7 @@ def typed_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def matching(documents: DataFrame, query: Mapping[str, Any] | None, columns: Mapping[str, Column] | None = None) -> DataFrame:
+def matching(documents: DataFrame, query: Mapping[str, Any] | None, columns: Columns | None = None) -> DataFrame:
     """Documents the filter accepts. Unusable ones stay, as no filter can be applied to them."""
     if not query:
         return documents
@@ -85,7 +85,7 @@ def landing_columns(
         F.when(error.isNull(), F.md5(canonical_json(F.col("row_data")))).alias("document_hash"),
         F.lit(collection).alias("collection_name"),
         error.alias("error_type"),
-        F.when(error.isNotNull(), F.left(F.coalesce("raw", F.to_json("doc")), F.lit(SAMPLE_CHARS))).alias("json_sample"),
+        F.when(error.isNotNull(), F.coalesce("raw", F.to_json("doc"))).alias("bad_text"),
         *keep,
     )
 
@@ -97,7 +97,12 @@ def counted(rows: DataFrame, observation: Observation) -> DataFrame:
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("error_type").isNull()).drop("error_type", "json_sample")
+    return rows.where(F.col("error_type").isNull()).drop("error_type", "bad_text")
+
+
+def bad_rows(rows: DataFrame) -> DataFrame:
+    """The rows set apart, with the whole text of each document."""
+    return rows.where(F.col("error_type").isNotNull()).select("document_id", "error_type", "bad_text")
 
 
 def failures(rows: DataFrame) -> DataFrame:
@@ -107,5 +112,5 @@ def failures(rows: DataFrame) -> DataFrame:
         F.coalesce(F.nullif("document_id", F.lit("")), F.lit("unknown")).alias("doc_id"),
         "error_type",
         message.alias("error_message"),
-        "json_sample",
+        F.left("bad_text", F.lit(SAMPLE_CHARS)).alias("json_sample"),
     )

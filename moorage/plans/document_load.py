@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from moorage.operators.landing import (
+    bad_rows,
     counted,
     failures,
     first_documents,
@@ -50,6 +51,7 @@ class DocumentResult:
     unchanged: int
     duplicates: int
     failures: DataFrame
+    bad: DataFrame  # whole texts of the documents that failed
     seconds: float
 
     @property
@@ -75,7 +77,7 @@ def prepare(load: DocumentLoad, documents: DataFrame) -> DataFrame:
 
 def dry_run(spark: SparkSession, load: DocumentLoad, documents: DataFrame) -> DryRun:
     """What a load would do. Nothing is written to the table."""
-    rows = prepare(load, documents)
+    rows = materialise(prepare(load, documents), "documents")
     good = good_rows(rows)
     estimate = export_estimate(good, load.batch_size)
     landing = read_table(spark, load.table)
@@ -87,25 +89,26 @@ def dry_run(spark: SparkSession, load: DocumentLoad, documents: DataFrame) -> Dr
 
 def load_documents(
     spark: SparkSession, load: DocumentLoad, documents: DataFrame, location: str | None = None
-) -> DocumentResult:
-    """Land a collection. Raises if documents were read and none could be landed."""
+) -> DocumentResult | DryRun:
+    """Land a collection, or with ``dry_run`` say what that would do and write nothing, not even an empty table.
+
+    Raises if documents were read and none could be landed.
+    """
     if load.mode not in MODES:
         raise ValueError(f"unknown mode {load.mode!r}")
+    if load.dry_run:
+        return dry_run(spark, load, documents)
     started = time.monotonic()
     create_document_landing(spark, load.table, location)
     cluster = ["document_id"] if load.cluster else None  # the time of the load is the same for all rows
     seen = Observation()
-    rows = counted(prepare(load, documents), seen)
-    if load.mode == "append" and not cluster:
-        append_rows(good_rows(rows), load.table)
-        return _result(load, documents, seen, started, inserted=seen.get["read"] - seen.get["failed"])
-
-    # The documents are read several times from here on: store them once, parsed. The counts are taken in the
-    # tasks that write, before any shuffle, so that a lost executor does not make Spark count rows again.
-    good = materialise(good_rows(rows), "documents")
+    # Good and bad documents are stored in one pass, parsed once. The counts are taken in the tasks that write,
+    # before any shuffle, so that a lost executor does not make Spark count rows again.
+    rows = materialise(counted(prepare(load, documents), seen), "documents")
+    good = good_rows(rows)
     if load.mode == "append":
         append_rows(good, load.table, cluster)
-        return _result(load, documents, seen, started, inserted=seen.get["read"] - seen.get["failed"])
+        return _result(load, rows, seen, started, inserted=seen.get["read"] - seen.get["failed"])
     source, duplicates = _each_id_once(good, load.order_by)
     target = in_collection(spark.table(load.table), load.collection)
     counts = {r.action: r.n for r in action_counts(upsert_actions(target, source)).collect()}
@@ -121,7 +124,7 @@ def load_documents(
         )
         content = updated_rows(target, source).unionByName(added.select(*target.columns))
         replace_collection(content, load.table, load.collection)
-    return _result(load, documents, seen, started, n_insert, n_update, n_same, duplicates)
+    return _result(load, rows, seen, started, n_insert, n_update, n_same, duplicates)
 
 
 def _each_id_once(good: DataFrame, order_by: str | None) -> tuple[DataFrame, int]:
@@ -138,7 +141,7 @@ def _each_id_once(good: DataFrame, order_by: str | None) -> tuple[DataFrame, int
 
 def _result(
     load: DocumentLoad,
-    documents: DataFrame,
+    rows: DataFrame,
     seen: Observation,
     started: float,
     inserted: int = 0,
@@ -149,7 +152,5 @@ def _result(
     read, failed = seen.get["read"], seen.get["failed"]
     if read and read == failed:
         raise NothingLanded(f"all {read} documents of {load.collection} are bad")
-    bad = failures(prepare(load, documents))
-    return DocumentResult(
-        read, failed, inserted, updated, unchanged, duplicates, bad, time.monotonic() - started
-    )
+    seconds = time.monotonic() - started
+    return DocumentResult(read, failed, inserted, updated, unchanged, duplicates, failures(rows), bad_rows(rows), seconds)

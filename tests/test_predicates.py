@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from moorage.functions.predicates import compile_filter
 from tests.conftest import plan_of
@@ -101,6 +101,27 @@ def test_promoted_columns_reach_the_scan(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "p"))
     stored = spark.read.parquet(str(tmp_path / "p"))
     query = {"valueDate": {"$gte": 3}, "id": {"$lt": 8}}
-    found = stored.where(compile_filter(query, F.col("doc"), {"valueDate": F.col("value_date")}))
+    found = stored.where(compile_filter(query, F.col("doc"), {"valueDate": (F.col("value_date"), T.LongType())}))
     assert "GreaterThanOrEqual(value_date,3)" in plan_of(found)
     assert sorted(r.value_date for r in found.collect()) == [3, 4, 5, 6, 7]
+
+
+@pytest.mark.parametrize(
+    ("query", "ids"),
+    [
+        ({"s": 5}, []),
+        ({"s": "5"}, [1]),
+        ({"s": {"$ne": 5}}, [1, 2]),
+        ({"n": "5"}, []),
+        ({"n": {"$in": ["5", 5, True]}}, [1]),
+        ({"b": 1}, []),
+        ({"b": True}, [2]),
+        ({"n": {"$gt": 4.5}}, [1]),
+        ({"s": {"$not": {"$gt": 5}}}, [1, 2]),
+    ],
+)
+def test_promoted_columns_compare_within_their_kind(spark, query, ids):
+    rows = spark.createDataFrame([(1, "5", 5, False), (2, "x", 4, True)], "id int, s string, n int, b boolean")
+    columns = {f.name: (F.col(f.name), f.dataType) for f in rows.schema}
+    found = rows.where(compile_filter(query, F.parse_json(F.lit("{}")), columns))
+    assert sorted(r.id for r in found.collect()) == ids

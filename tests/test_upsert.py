@@ -17,7 +17,7 @@ from moorage.plans.document_load import NothingLanded, dry_run, load_documents,
 from moorage.sinks.tables import clustered, create_document_landing, merge_into, row_ids, table_location
 from moorage.sources.collections import as_documents, documents_from, json_lines
 from moorage.sources.tables import collection_counts, existing_ids, read_table, sample_rows
-from moorage.spec import DocumentLoad
+from moorage.spec import DocumentLoad, with_options
 from tests.conftest import plan_of, rows_of
 
 
@@ -288,3 +288,17 @@ def test_typed_source_by_format(spark, tmp_path):
 def test_row_ids(spark):
     ids = [r[0] for r in spark.range(0, 1000, 1, 7).select(row_ids(100)).collect()]
     assert len(set(ids)) == 1000 and min(ids) == 100
+
+
+def test_a_dry_run_by_option_writes_nothing(spark, table):
+    load = with_options(DocumentLoad(collection="c", table=table, mode="upsert"), {"dry_run": "true"})
+    result = load_documents(spark, load, texts(spark, '{"_id":1}', '{"_id":'))
+    assert result.estimate.first().matching == 1 and result.failures.count() == 1
+    assert not spark.catalog.tableExists(table)
+
+
+def test_bad_documents_are_kept_whole(spark, table):
+    long = '{"_id":1,"x":"' + "y" * 500
+    result = load_documents(spark, DocumentLoad(collection="c", table=table), texts(spark, long, '{"_id":2}'))
+    assert [r.bad_text for r in result.bad.collect()] == [long]
+    assert [len(r.json_sample) for r in result.failures.collect()] == [200]
