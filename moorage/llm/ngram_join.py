@@ -4,17 +4,20 @@ Texts with one set are one class, found by a digest, and joined as one. Classes
 
 * Signatures. All n-grams stand in one global order: by how many texts hold them, as a sketch of fixed size counts it
   over all texts, then by hash. Two sets of enough similarity share one of the first n - ceil(0.8 n) + 1 n-grams of
-  either. These are shuffled; n-grams that no other class has among its first drop out at once. Passages that many
-  documents share stand at the end of the order, so they are no signatures.
-* Hubs. Of the classes at a signature, the smallest is the hub, and all others of fitting size are joined with it:
-  as many pairs as rows, however large the group. Groups whose classes are all linked by then are done. Of the others
-  all pairs of fitting size and place that are in different components are joined.
+  either. These are shuffled once; n-grams that no other class has among its first drop out at once. Passages that
+  many documents share stand at the end of the order, so they are hardly signatures. N-grams whose slot of the sketch
+  is far above the mean are dealt to several tasks.
+* Hubs. Of the classes at a signature, the smallest is the hub. Pairs of hub and class, as many as rows, however large
+  the group, are joined if what they share allows it. Groups whose classes are in one component by then are done.
+* Rest. Signatures of the open groups that lie in the same classes are put together, with their number as a weight.
+  Pairs of different components in a group are added up; what two sets share among their first, and how much follows
+  after it, bounds what they share at all, and the few pairs that can still be similar enough are joined.
 * Prefix tree. The sets to be joined with a hub, in bounded chunks, are stored as a prefix tree in global (hash) order.
   It is walked depth first. What a common beginning shares with the hub is counted once for all sets below, and a
   subtree is left as soon as what remains of its sets can't lead to enough.
 
 So every link between classes is either found or known to lie within a component. Nothing is capped, and no group is
-held by one task: signatures are counted with partial sums, hubs deal their sets to chunks.
+held by one task: hot signatures are salted and counted with partial sums, hubs deal their sets to chunks.
 
 A text without words is linked with nothing, nor is a row without id, which has no component. Rows that repeat an id
 count one by one. Graph nodes are 64 bits of a class's digest. An empty table gives an empty table.
@@ -28,7 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from moorage.llm.common import join_stored, small_batches
 from moorage.llm.components import components
@@ -39,6 +42,7 @@ SLOT_BITS = 20  # of the sketch
 SKETCH_BLOCKS = 16
 CHUNK = 256  # sets of a prefix tree
 STEP = 64  # n-grams between two looks at the bound
+HOT, SALTS = 8, 64  # n-grams whose slot counts so many times the mean are dealt to so many tasks
 
 # Fixed value: the similarity, as a fraction.
 LEAST, OF = 4, 5
@@ -114,26 +118,51 @@ def sketch(stored: DataFrame) -> np.ndarray:
 
 
 def signatures(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """sig, node, n and place in the global order, of the first n-grams of each text."""
-    sent = texts.sparkSession.sparkContext.broadcast(counts)
+    """sig, node and mark of the first n-grams of each text: whether hot, size of the set, place in the global order."""
+    sent = texts.sparkSession.sparkContext.broadcast((counts, HOT * float(counts.mean()) + HOT))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sent.value
+        held, hot = sent.value
         for batch in small_batches(batches, "text"):
             sets = [s for s in shingle_sets(batch.column("text")) if len(s)]
             if not sets:
                 continue
             parts = [s[np.lexsort((s, held[slots(s)]))[: signature_count(len(s))]] for s in sets]
             lengths = [len(p) for p in parts]
-            columns = [
-                pa.array(np.concatenate(parts).view(np.int64)),
-                pa.array(np.repeat(np.array([node_of(digest_of(s)) for s in sets], np.int64), lengths)),
-                pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), lengths)),
-                pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["sig", "node", "n", "place"])
-
-    return texts.mapInArrow(sign, "sig bigint, node bigint, n int, place int")
+            sigs = np.concatenate(parts)
+            sizes = np.repeat(np.array([len(s) for s in sets], np.int64), lengths)
+            places = np.concatenate([np.arange(n, dtype=np.int64) for n in lengths])
+            marks = (held[slots(sigs)] > hot).astype(np.int64) << 62 | sizes << 31 | places
+            nodes = np.repeat(np.array([node_of(digest_of(s)) for s in sets], np.int64), lengths)
+            yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(nodes), pa.array(marks)], names=["sig", "node", "mark"])
+
+    return texts.mapInArrow(sign, "sig bigint, node bigint, mark bigint")
+
+
+def shared_signatures(signed: DataFrame) -> DataFrame:
+    """sig, node, n and place of all signatures that more than one class has; stored."""
+    hot = F.shiftright("mark", 62) == 1
+    salt = F.when(hot, F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0).alias("salt")
+    group = Window.partitionBy("sig", "salt")
+    met = (
+        signed.select("sig", "node", "mark", salt)
+        .withColumns({"least": F.min("node").over(group), "most": F.max("node").over(group)})
+        .where(hot | (F.col("least") < F.col("most")))
+    )
+    bits = F.lit((1 << 31) - 1)
+    n, place = F.shiftright("mark", 31).bitwiseAND(bits).cast("int"), F.col("mark").bitwiseAND(bits).cast("int")
+    rows = materialise(met.select("sig", "node", n.alias("n"), place.alias("place"), hot.alias("hot")), "met")
+    ends = rows.where("hot").groupBy("sig").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
+    cold = rows.where("NOT hot").drop("hot")
+    return materialise(cold.unionByName(rows.where("hot").drop("hot").join(ends.select("sig"), "sig")), "members")
+
+
+def grouped(members: DataFrame) -> DataFrame:
+    """Signatures that lie in the same classes put together: key, node, n, weight (their number), place of the last."""
+    alike = F.xxhash64(F.bit_xor(F.xxhash64("node")), F.count("*"), F.min("node"), F.max("node")).alias("key")
+    keys = materialise(members.groupBy("sig").agg(alike), "keys")
+    rows = members.join(keys, "sig").groupBy("key", "node", "n")
+    return materialise(rows.agg(F.count("*").alias("weight"), F.max("place").alias("place")), "groups")
 
 
 def set_bytes(texts: DataFrame) -> DataFrame:
@@ -211,7 +240,7 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
 
 
 def joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose sets are similar enough; stored. ``pairs`` and ``sets`` are stored, and pairs distinct."""
+    """Those pairs (a, b) whose sets are similar enough; stored. ``pairs`` are stored and distinct."""
     chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).alias("chunks"))
     spread = pairs.join(chunks, "a").select("a", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"), F.col("b").alias("node"))
     hubs = chunks.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("a").alias("node"))
@@ -258,29 +287,69 @@ def linked_classes(rows: DataFrame, stored: DataFrame, full: DataFrame, classes:
     firsts = classes.select(F.col("first").alias("doc_id"))
     twins = materialise(again.select("doc_id").distinct().join(firsts, "doc_id", "left_anti"), "twins")
     texts = join_stored(held, twins, ["doc_id"], "left_anti", 16).select("text")
-    signed = materialise(signatures(texts, sketch(stored)), "signatures")
-
-    hubs = signed.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).where("hub.node < last")
-    shared = materialise(hubs.select("sig", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "shared")
-    members = materialise(signed.join(shared, "sig"), "members")
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id"))
-    chosen = join_stored(held, materialise(wanted, "wanted"), ["doc_id"], "left_semi", 16)
-    sets = materialise(set_bytes(chosen.select("text")), "grams")
-
-    star = members.where((F.col("node") != F.col("hub")) & fitting("n", "hub_n"))
-    first_links = joined(materialise(star.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs"), sets)
-    first_labels = components(first_links)
-
-    label = F.coalesce("label", "node").alias("label")
-    labelled = materialise(members.join(first_labels, "node", "left").select("sig", "node", "n", "place", "hub", label), "labelled")
-    open_ones = labelled.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
-    rest = labelled.where("node <> hub").join(open_ones.select("sig"), "sig")
-    other = rest.select("sig", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "place", "label")])
-    apart = (F.col("node") < F.col("other_node")) & (F.col("label") != F.col("other_label")) & fitting("n", "other_n")
-    reach = 1 + F.least("place", "other_place") + F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) - 1
-    enough = reach * (OF + LEAST) >= (F.col("n") + F.col("other_n")) * LEAST
-    pairs = rest.join(other, "sig").where(apart & enough).select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct()
-    more_links = joined(materialise(pairs, "pairs"), sets)
-    if more_links.isEmpty():
-        return first_labels
-    return components(materialise(first_links.unionByName(more_links), "links"))
+    members = shared_signatures(signatures(texts, sketch(stored)))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The links among pairs (a, b), which are stored: reads the sets of their classes."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = classes.join(nodes, "node", "left_semi").select(F.col("first").alias("doc_id"))
+        chosen = join_stored(held, materialise(wanted, "wanted"), ["doc_id"], "left_semi", 16)
+        return joined(pairs, set_bytes(chosen.select("text")))
+
+    groups_of = grouped(members)
+    links = checked(materialise(hub_pairs(groups_of), "pairs"))
+    labels = components(links)
+    more = checked(materialise(open_pairs(groups_of, labels), "pairs"))
+    if more.isEmpty():
+        return labels
+    return components(materialise(links.unionByName(more), "links"))
+
+
+def hub_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class with the smallest of its group, if what they share in such groups allows a link."""
+    hubs = rows.groupBy("key").agg(F.min(F.struct("node", "n", "place")).alias("hub"))
+    met = rows.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & fitting("n", "hub.n"))
+    pairs = met.groupBy(F.col("hub.node").alias("a"), F.col("node").alias("b"), F.col("hub.n").alias("a_n"), F.col("n").alias("b_n"))
+    counted = pairs.agg(F.sum("weight").alias("shared"), F.max("hub.place").alias("a_place"), F.max("place").alias("b_place"))
+    return counted.where(possible("shared", "a_n", "a_place", "b_n", "b_place")).select("a", "b")
+
+
+def open_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes in different components, if what they share allows a link; each once.
+
+    Every class carries the list of its open groups. A pair is made in the first group that both lists hold, and only
+    if the groups in both can weigh enough.
+    """
+    known = join_stored(rows, labels, ["node"], "left", 32).withColumn("label", F.coalesce("label", "node"))
+    known = materialise(known, "labelled")
+    ends = known.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
+    rest = materialise(known.join(ends.select("key"), "key"), "open")
+    lists = rest.groupBy("node").agg(
+        F.sort_array(F.collect_list("key")).alias("keys"), (F.sum("weight") - F.count("*")).alias("extra")
+    )
+    full = rest.drop("weight", "place").join(lists, "node")
+    other = full.select([F.col(c).alias(f"b_{c}") for c in full.columns])
+    apart = (F.col("node") < F.col("b_node")) & (F.col("label") != F.col("b_label")) & fitting("n", "b_n")
+    extra = F.least("extra", "b_extra")
+
+    def first_and_enough(both: Column) -> Column:
+        """In the first common group, whose number, and what they can weigh beyond one each, allows a link."""
+        return (F.get(both, F.lit(0)) == F.col("key")) & possible(F.size(both) + extra, "n", None, "b_n", None)
+
+    once = F.exists(F.array(F.array_intersect("keys", "b_keys")), first_and_enough)
+    met = full.join(other, (F.col("key") == F.col("b_key")) & apart & once)
+    return met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))
+
+
+def possible(shared: str | Column, a_n: str, a_place: str | None, b_n: str, b_place: str | None) -> Column:
+    """Whether sets of these sizes may be similar enough, by the number of signatures they share.
+
+    Beyond the signatures of the larger set, no more can be shared than what it has left; where the places of the
+    last shared ones are known, no more than what follows these in either set.
+    """
+    larger = F.greatest(a_n, b_n)
+    after = F.ceil(larger * LEAST / OF) - 1
+    if a_place and b_place:
+        after = F.least(after, F.col(a_n) - F.col(a_place) - 1, F.col(b_n) - F.col(b_place) - 1)
+    shared = F.col(shared) if isinstance(shared, str) else shared
+    return (shared + after) * (OF + LEAST) >= (F.col(a_n) + F.col(b_n)) * LEAST
