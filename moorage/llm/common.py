@@ -38,27 +38,27 @@ def pieces(text: bytes, separator: re.Pattern[bytes], size: int = 1 << 20) -> It
 
 
 class Memo(dict):
-    """Cache of about ``limit`` entries at most: two generations, of which the older is dropped when the newer is full."""
+    """Cache by text of about ``limit`` entries: two generations, of which the older goes when the newer is full."""
 
-    def __init__(self, limit: int) -> None:
+    def __init__(self, limit: int, longest: int) -> None:
         super().__init__()
-        self.limit = limit
+        self.limit, self.longest = limit, longest
         self.old: dict = {}
 
-    def fill(self, wanted: Iterable, make: Callable[[list], Iterable]) -> None:
-        """Afterwards all wanted keys are there. ``make`` gives the values of a list of keys."""
-        missing = set(wanted).difference(self)
+    def fill(self, wanted: set, make: Callable[[list], Iterable]) -> None:
+        """Afterwards all wanted keys of up to ``longest`` characters are there. ``make`` gives the values of keys."""
+        missing = wanted.difference(self)
         if not missing:
             return
         if len(self) + len(missing) > self.limit // 2:
             self.old = dict(self)
             self.clear()
-            missing = set(wanted)
+            missing = wanted
         if self.old:
             found = missing.intersection(self.old)
             self.update({key: self.old[key] for key in found})
-            missing -= found
-        new = list(missing)
+            missing = missing - found
+        new = [key for key in missing if len(key) <= self.longest]
         self.update(zip(new, make(new), strict=True))
 
 

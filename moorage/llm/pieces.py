@@ -51,7 +51,7 @@ class PieceCodec:
         self.surface = [p.piece.replace(MARK, " ").encode() for p in model.pieces]
         for byte, i in self.byte_ids.items():
             self.surface[i] = bytes([byte])
-        self.words: Memo = Memo(CACHED_WORDS)
+        self.words: Memo = Memo(CACHED_WORDS, CACHED_CHARS)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.automaton = self._automaton()
 
@@ -162,10 +162,12 @@ class PieceCodec:
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids as 32-bit integers and the decoded text in UTF-8, for each text."""
         split = [self.split(text) for text in texts]
-        self.words.fill((w for words in split for w in words if len(w) <= CACHED_CHARS), lambda new: map(self._word, new))
+        self.words.fill(set().union(*split), lambda new: map(self._word, new))
         results = []
         for words in split:
-            known = [self.words.get(w) or self._word(w) for w in words]
+            known = list(map(self.words.get, words))
+            if None in known:
+                known = [k or self._word(w) for k, w in zip(known, words, strict=True)]
             results.append((b"".join([k[0] for k in known]), b"".join([k[1] for k in known])[1:]))
         return results
 

@@ -35,6 +35,9 @@ MAX_RANGES = 20_000
 END_ID = 0
 CACHED_CHUNKS = 1_000_000  # bound of the cache of a worker
 CACHED_CHARS = 64
+CACHED_PARTS = 500_000
+LATIN_END = "\u0250"
+WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 # Layout of a segment. Head: magic, documents, blocks, ids, bytes of the whole segment.
 MAGIC = b"PFOR"
@@ -45,7 +48,9 @@ BLOCK_DTYPE = np.dtype([("exceptions", "<u4"), ("count", "<u2"), ("width", "u1")
 
 def pack(values: np.ndarray, width: int) -> np.ndarray:
     """The low ``width`` bits of each value of each row, least first; a row of bytes for each."""
-    bits = np.unpackbits(values.astype("<u4").view("u1").reshape(*values.shape, 4), axis=-1, bitorder="little")
+    kind = "<u2" if width <= 16 else "<u4"
+    bytes_of = values.astype(kind).view("u1").reshape(*values.shape, np.dtype(kind).itemsize)
+    bits = np.unpackbits(bytes_of, axis=-1, bitorder="little")
     return np.packbits(bits[..., :width].reshape(len(values), -1), axis=1, bitorder="little")
 
 
@@ -54,9 +59,10 @@ def unpack(data: np.ndarray, width: int, count: int) -> np.ndarray:
     if not width:
         return np.zeros((len(data), count), np.uint32)
     bits = np.unpackbits(data, axis=1, count=count * width, bitorder="little").reshape(len(data), count, width)
-    wide = np.zeros((len(data), count, 32), np.uint8)
+    kind, room = ("<u2", 16) if width <= 16 else ("<u4", 32)
+    wide = np.zeros((len(data), count, room), np.uint8)
     wide[..., :width] = bits
-    return np.packbits(wide, axis=-1, bitorder="little").view("<u4")[..., 0]
+    return np.packbits(wide, axis=-1, bitorder="little").view(kind)[..., 0]
 
 
 def encode_rows(rows: np.ndarray) -> list[bytes]:
@@ -140,51 +146,89 @@ def decode_segment(data: np.ndarray) -> tuple[list[int | None], np.ndarray, np.n
 class ChunkEncoder:
     """Ids of whole texts from a tokenizer of the byte-level kind, whose tokens never hold a space but in front.
 
-    A single space between two characters that aren't white space begins a token, so what lies between such spaces is
-    encoded by itself, and chunks met before come from a bounded cache.
+    A single space between two characters that aren't white space begins a token, so what lies between such spaces, a
+    chunk, is encoded by itself, and chunks met before come from a bounded cache. New chunks are cut by the library's
+    own rule (those of Latin letters alone aren't cut by it), and the parts not met before go to the library's model.
     """
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        if self.tokenizer.normalizer is not None or not str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(add_prefix_space=False"):
+            raise ValueError("the tokenizer must be of the byte-level kind, without normaliser and added spaces")
+        self.model, self.cut = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.chunks: Memo = Memo(CACHED_CHUNKS)
+        self.shown = byte_characters()
+        self.chunks: Memo = Memo(CACHED_CHUNKS, CACHED_CHARS)
+        self.parts: dict[str, bytes] = {}
 
-    def direct(self, texts: list[str]) -> Iterator[bytes]:
-        for encoding in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            yield np.array(encoding.ids, "<u4").tobytes()
+    def _ids(self, text: str) -> bytes:
+        if any(token in text for token in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha() and max(word) < LATIN_END:
+            parts = [text.encode().decode("latin-1").translate(self.shown)]
+        else:
+            parts = [part for part, _ in self.cut(text)]
+        found = []
+        for part in parts:
+            ids = self.parts.get(part)
+            if ids is None:
+                ids = np.array([token.id for token in self.model.tokenize(part)], "<u4").tobytes()
+                if len(part) <= CACHED_CHARS:
+                    if len(self.parts) >= CACHED_PARTS:
+                        self.parts.clear()
+                    self.parts[part] = ids
+            found.append(ids)
+        return b"".join(found)
+
+    def direct(self, keys: Iterable[str]) -> Iterator[bytes]:
+        return (self._ids(text_of(key)) for key in keys)
 
     def split(self, text: str) -> list[str]:
+        """Keys of the chunks: the chunk without the space it begins with, or with one more if it begins with none."""
         if any(token in text for token in self.special):
-            return [text] if text else []
-        parts = text.split(" ")
-        chunks = [parts[0], *[" " + part for part in parts[1:]]]
-        joined: list[str] = []
+            return [" " + text]
+        keys = text.split(" ")
+        if "  " not in text and not any(c in text and (c + " " in text or " " + c in text) for c in WHITE):
+            keys[0] = " " + keys[0]
+            return keys
+        chunks: list[str] = []
         glued = False
-        for chunk, part in zip(chunks, parts, strict=True):
+        for number, part in enumerate(keys):
             # A space next to white space belongs to the chunk before.
-            if joined and (glued or not part or part[0].isspace()):
-                joined[-1] += chunk
+            if chunks and (glued or not part or part[0].isspace()):
+                chunks[-1] += " " + part
             else:
-                joined.append(chunk)
+                chunks.append(" " + part if number else part)
             glued = not part or part[-1].isspace()
-        return [c for c in joined if c]
+        return [c[1:] if c[:1] == " " != c[1:2] else " " + c for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.split(text) for text in texts]
-        self.chunks.fill((c for chunks in split for c in chunks if len(c) <= CACHED_CHARS), self.direct)
-        get = self.chunks.get
+        self.chunks.fill(set().union(*split), self.direct)
         results = []
-        for chunks in split:
-            found = [get(c) for c in chunks]
+        for keys in split:
+            found = list(map(self.chunks.get, keys))
             if None in found:
-                long = self.direct([c for c, f in zip(chunks, found, strict=True) if f is None])
+                long = self.direct([k for k, f in zip(keys, found, strict=True) if f is None])
                 found = [next(long) if f is None else f for f in found]
             results.append(b"".join(found))
         return results
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level tokenizers show each byte as: itself where it can be seen, else one from 256 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    unseen = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(byte) for byte in seen} | {byte: chr(256 + i) for i, byte in enumerate(unseen)}
+
+
+def text_of(key: str) -> str:
+    return key[1:] if key[:1] == " " else " " + key
+
+
 @lru_cache(maxsize=2)
 def encoder(file: str) -> ChunkEncoder:
     return ChunkEncoder(file)
