@@ -41,6 +41,7 @@ from moorage.session import materialise
 SLOT_BITS = 20  # of the sketch
 SKETCH_BLOCKS = 16
 CHUNK = 256  # sets of a prefix tree
+WEIGHTS = (1 << 24) - 1  # bits of a group's key that hold its weight; all of them: any weight
 STEP = 64  # n-grams between two looks at the bound
 HOT, SALTS = 8, 64  # n-grams whose slot counts so many times the mean are dealt to so many tasks
 
@@ -154,15 +155,19 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
     rows = materialise(met.select("sig", "node", n.alias("n"), place.alias("place"), hot.alias("hot")), "met")
     ends = rows.where("hot").groupBy("sig").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
     cold = rows.where("NOT hot").drop("hot")
-    return materialise(cold.unionByName(rows.where("hot").drop("hot").join(ends.select("sig"), "sig")), "members")
+    members = cold.unionByName(rows.where("hot").drop("hot").join(ends.select("sig"), "sig"))
+    # A class comes several times where rows repeat its id.
+    return materialise(members.distinct(), "members")
 
 
 def grouped(members: DataFrame) -> DataFrame:
     """Signatures that lie in the same classes put together: key, node, n, weight (their number), place of the last."""
     alike = F.xxhash64(F.bit_xor(F.xxhash64("node")), F.count("*"), F.min("node"), F.max("node")).alias("key")
     keys = materialise(members.groupBy("sig").agg(alike), "keys")
-    rows = members.join(keys, "sig").groupBy("key", "node", "n")
-    return materialise(rows.agg(F.count("*").alias("weight"), F.max("place").alias("place")), "groups")
+    rows = members.join(keys, "sig").groupBy("key", "node", "n").agg(F.count("*").alias("weight"), F.max("place").alias("place"))
+    # The key ends in the weight, so that lists of keys can be weighed.
+    key = F.col("key").bitwiseAND(F.lit(~WEIGHTS)).bitwiseOR(F.least("weight", F.lit(WEIGHTS)))
+    return materialise(rows.withColumn("key", key), "groups")
 
 
 def set_bytes(texts: DataFrame) -> DataFrame:
@@ -317,39 +322,39 @@ def hub_pairs(rows: DataFrame) -> DataFrame:
 def open_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes in different components, if what they share allows a link; each once.
 
-    Every class carries the list of its open groups. A pair is made in the first group that both lists hold, and only
-    if the groups in both can weigh enough.
+    Every class carries the list of its open groups, in the global order. A pair is made in the last group that both
+    lists hold, and only if the groups in both can weigh enough and enough can follow.
     """
     known = join_stored(rows, labels, ["node"], "left", 32).withColumn("label", F.coalesce("label", "node"))
     known = materialise(known, "labelled")
     ends = known.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
     rest = materialise(known.join(ends.select("key"), "key"), "open")
-    lists = rest.groupBy("node").agg(
-        F.sort_array(F.collect_list("key")).alias("keys"), (F.sum("weight") - F.count("*")).alias("extra")
-    )
-    full = rest.drop("weight", "place").join(lists, "node")
+    lists = rest.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "key")))["key"].alias("keys"))
+    full = rest.drop("weight").join(lists, "node")
     other = full.select([F.col(c).alias(f"b_{c}") for c in full.columns])
     apart = (F.col("node") < F.col("b_node")) & (F.col("label") != F.col("b_label")) & fitting("n", "b_n")
-    extra = F.least("extra", "b_extra")
 
-    def first_and_enough(both: Column) -> Column:
-        """In the first common group, whose number, and what they can weigh beyond one each, allows a link."""
-        return (F.get(both, F.lit(0)) == F.col("key")) & possible(F.size(both) + extra, "n", None, "b_n", None)
+    def weighed(total: Column, key: Column) -> Column:
+        weight = key.bitwiseAND(F.lit(WEIGHTS))
+        return total + F.when(weight == WEIGHTS, F.col("n")).otherwise(weight)
+
+    def last_and_enough(both: Column) -> Column:
+        """In the last common group, if the weight of all common groups allows a link."""
+        enough = possible(F.aggregate(both, F.lit(0).cast("bigint"), weighed), "n", "place", "b_n", "b_place")
+        return (F.get(both, F.size(both) - 1) == F.col("key")) & enough
 
-    once = F.exists(F.array(F.array_intersect("keys", "b_keys")), first_and_enough)
+    once = F.exists(F.array(F.array_intersect("keys", "b_keys")), last_and_enough)
     met = full.join(other, (F.col("key") == F.col("b_key")) & apart & once)
     return met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))
 
 
-def possible(shared: str | Column, a_n: str, a_place: str | None, b_n: str, b_place: str | None) -> Column:
+def possible(shared: str | Column, a_n: str, a_place: str, b_n: str, b_place: str) -> Column:
     """Whether sets of these sizes may be similar enough, by the number of signatures they share.
 
-    Beyond the signatures of the larger set, no more can be shared than what it has left; where the places of the
-    last shared ones are known, no more than what follows these in either set.
+    Beyond the signatures of the larger set, no more can be shared than what it has left, and after the places of the
+    last shared ones no more than what follows these in either set.
     """
-    larger = F.greatest(a_n, b_n)
-    after = F.ceil(larger * LEAST / OF) - 1
-    if a_place and b_place:
-        after = F.least(after, F.col(a_n) - F.col(a_place) - 1, F.col(b_n) - F.col(b_place) - 1)
+    left = F.ceil(F.greatest(a_n, b_n) * LEAST / OF) - 1
+    after = F.least(left, F.col(a_n) - F.col(a_place) - 1, F.col(b_n) - F.col(b_place) - 1)
     shared = F.col(shared) if isinstance(shared, str) else shared
     return (shared + after) * (OF + LEAST) >= (F.col(a_n) + F.col(b_n)) * LEAST
