@@ -47,17 +47,16 @@ class Memo(dict):
 
     def fill(self, wanted: set, make: Callable[[list], Iterable]) -> None:
         """Afterwards all wanted keys of up to ``longest`` characters are there. ``make`` gives the values of keys."""
-        missing = wanted.difference(self)
+        missing = [key for key in wanted if key not in self]
         if not missing:
             return
         if len(self) + len(missing) > self.limit // 2:
             self.old = dict(self)
             self.clear()
-            missing = wanted
+            missing = list(wanted)
         if self.old:
-            found = missing.intersection(self.old)
-            self.update({key: self.old[key] for key in found})
-            missing = missing - found
+            self.update({key: self.old[key] for key in missing if key in self.old})
+            missing = [key for key in missing if key not in self.old]
         new = [key for key in missing if len(key) <= self.longest]
         self.update(zip(new, make(new), strict=True))
 

@@ -16,8 +16,10 @@ side, in the order of their ids' checksums. An empty table gives no segments and
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -36,7 +38,10 @@ END_ID = 0
 CACHED_CHUNKS = 1_000_000  # bound of the cache of a worker
 CACHED_CHARS = 64
 CACHED_PARTS = 500_000
+# Within Latin letters the library's rule for cutting is this pattern, but for characters that Python classes otherwise.
 LATIN_END = "\u0250"
+UNLIKE = frozenset("\x1c\x1d\x1e\x1f\u00b2\u00b3\u00b9\u00bc\u00bd\u00be")
+CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 
 # Layout of a segment. Head: magic, documents, blocks, ids, bytes of the whole segment.
@@ -148,7 +153,7 @@ class ChunkEncoder:
 
     A single space between two characters that aren't white space begins a token, so what lies between such spaces, a
     chunk, is encoded by itself, and chunks met before come from a bounded cache. New chunks are cut by the library's
-    own rule (those of Latin letters alone aren't cut by it), and the parts not met before go to the library's model.
+    rule (in Latin script by a pattern that says the same), and the parts not met before go to the library's model.
     """
 
     def __init__(self, file: str) -> None:
@@ -164,24 +169,27 @@ class ChunkEncoder:
         self.parts: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        if any(token in text for token in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        word = text[1:] if text[:1] == " " else text
-        if word.isalpha() and max(word) < LATIN_END:
-            parts = [text.encode().decode("latin-1").translate(self.shown)]
+        for token in self.special:
+            if token in text:
+                return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        word, space = (text[1:], "\u0120") if text[:1] == " " else (text, "")
+        if word.isascii() and word.isalpha():
+            return self._part(space + word)
+        if word and max(word) < LATIN_END and UNLIKE.isdisjoint(word):
+            parts = [part.encode().decode("latin-1").translate(self.shown) for part in CUT.findall(text)]
         else:
             parts = [part for part, _ in self.cut(text)]
-        found = []
-        for part in parts:
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = np.array([token.id for token in self.model.tokenize(part)], "<u4").tobytes()
-                if len(part) <= CACHED_CHARS:
-                    if len(self.parts) >= CACHED_PARTS:
-                        self.parts.clear()
-                    self.parts[part] = ids
-            found.append(ids)
-        return b"".join(found)
+        return b"".join(map(self._part, parts))
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
+            if len(part) <= CACHED_CHARS:
+                if len(self.parts) >= CACHED_PARTS:
+                    self.parts.clear()
+                self.parts[part] = ids
+        return ids
 
     def direct(self, keys: Iterable[str]) -> Iterator[bytes]:
         return (self._ids(text_of(key)) for key in keys)
