@@ -26,7 +26,8 @@ from moorage.session import materialise
 
 BLOCKS = 4096  # blocks of a source, at most
 POOL = 1 << 20  # blocks of all sources, about; a source has 16 at least
-WORDS_PER_SHARD = 20_000_000
+WORDS_PER_SHARD = 4_000_000
+MOST_SPLITS = 14  # levels of the splitting tree
 SMALL_SOURCE, TRIALS = 512, 32  # sources of so few blocks try so many permutations, and keep the nearest to the target
 
 
@@ -173,7 +174,7 @@ def plan_mixture(
     goals = materialise(targets(sizes, weights, repeats), "mix-targets")
     sources, total = goals.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     blocks = block_count(sources)
-    depth = (total // words_per_shard).bit_length()
+    depth = min(MOST_SPLITS, (total // words_per_shard).bit_length())
     shards = materialise(split(draws(sizes, goals, blocks, seed), depth, seed), "mix-shards")
     return sizes, goals, shards, blocks, 2**depth
 

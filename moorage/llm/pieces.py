@@ -28,7 +28,7 @@ from moorage.llm.common import Memo, small_batches
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-CACHED_WORDS = 1_000_000  # bound of the cache of a worker
+CACHED_WORDS = 700_000  # bound of the cache of a worker
 CACHED_CHARS = 64  # longer words aren't cached
 CACHED_PAIRS = 1_000_000
 
