@@ -1,13 +1,15 @@
 """Mixtures of sources to target weights, by blocks and a multivariate-hypergeometric splitting tree.
 
-DataFrame and SQL functions only. Every document falls by hash into one of a bounded number of blocks of its source.
+DataFrame and SQL functions only. Every document falls by hash into one of the blocks of its source. A source that is
+larger than its target has the more blocks, so that the target is always some ``SHARE`` of them or more.
 What is large (documents) is only ever counted by block and joined with the chosen blocks; what is ordered or ranked
-are tables of blocks and sources, whose size ``BLOCKS`` and ``POOL`` bound whatever the number of documents.
+are tables of drawn blocks, candidates and sources, whose size ``BLOCKS`` and ``POOL`` bound whatever the number of documents.
 
 * Targets: sources share all words by weight; none gets more than ``repeats`` times its own, the excess is reshared.
 * Block quotas: whole passes over a source as often as its target allows, then blocks in permuted order as long as
   they fit twice into what is left (in every second trial: once), then the largest that fit, and one more where that comes nearer to the target.
-  A source of few blocks tries several permutations.
+  A source of few blocks tries several permutations. Of more than ``BLOCKS`` blocks that could be taken, so many drawn
+  by hash are the candidates, which is some 64 times what the target can hold.
 * Splitting tree: the pool of chosen blocks of all sources is halved again and again, each half a draw without
   replacement, so the counts by source follow the multivariate hypergeometric distribution and sum to the quotas.
 * Each output shard draws its quota from the permuted blocks of each source, no two shards the same, and orders its
@@ -19,6 +21,9 @@ other. Rows that are repeated are taken together or not at all. An empty table g
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from moorage.llm.common import join_stored
@@ -26,6 +31,7 @@ from moorage.session import materialise
 
 BLOCKS = 4096  # blocks of a source, at most
 POOL = 1 << 20  # blocks of all sources, about; a source has 16 at least
+SHARE = 64  # blocks that make up the target of a source larger than it; 16 at least where sources are very many
 WORDS_PER_SHARD = 4_000_000
 MOST_SPLITS = 14  # levels of the splitting tree
 SMALL_SOURCE, TRIALS = 512, 32  # sources of so few blocks try so many permutations, and keep the nearest to the target
@@ -85,20 +91,39 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), repeats: i
 
 
 def block_count(sources: int) -> int:
-    """Blocks of each source."""
+    """Blocks of each source whose target does not ask for more."""
     return max(16, min(BLOCKS, POOL // max(1, sources)))
 
 
-def draws(sizes: DataFrame, goals: DataFrame, blocks: int, seed: int) -> DataFrame:
+def finer_sources(goals: DataFrame, sources: int) -> DataFrame:
+    """Sources that need more blocks than ``block_count``, as their target is a small part of them: bin, blocks. Stored."""
+    share = max(16, min(SHARE, POOL // max(1, sources)))
+    need = F.ceil(F.col("source_size") / F.col("target") * share).cast("bigint")
+    small = goals.where("target > 0 AND target < source_size").select("bin", need.alias("blocks"))
+    return materialise(small.where(F.col("blocks") > block_count(sources)), "mix-finer")
+
+
+def with_block(rows: DataFrame, finer: DataFrame, blocks: int) -> DataFrame:
+    """Rows that have bin and place, with the block they fall into."""
+    counted = join_stored(rows, finer, ["bin"], "left", 80)
+    block = F.pmod("place", F.coalesce("blocks", F.lit(blocks).cast("bigint")))
+    return counted.withColumn("block", block).drop("place", "blocks")
+
+
+def draws(sizes: DataFrame, goals: DataFrame, finer: DataFrame, blocks: int, seed: int) -> DataFrame:
     """The chosen blocks: bin, block, pass. ``goals`` is what ``targets`` gives, stored."""
-    block = F.pmod("place", F.lit(blocks)).alias("block")
-    held = materialise(sizes.groupBy("bin", block).agg(F.sum("size").alias("words")).where("words > 0"), "mix-blocks")
+    placed = with_block(sizes.select("bin", "place", "size"), finer, blocks)
+    held = materialise(placed.groupBy("bin", "block").agg(F.sum("size").alias("words")).where("words > 0"), "mix-blocks")
     passes = F.floor(F.col("target") / F.col("source_size")).cast("int")
     plan = goals.where("source_size > 0").withColumn("passes", passes)
     plan = plan.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
     whole = held.join(plan, "bin").select("bin", "block", F.explode(F.when(F.col("passes") > 0, F.sequence(F.lit(1), "passes"))).alias("pass"))
+    # A block of twice the rest or more is never taken. The window drops rows before its shuffle.
+    fitting = held.join(plan.select("bin", "rest"), "bin").where(F.col("words") < 2 * F.col("rest"))
+    at = Window.partitionBy("bin").orderBy(F.xxhash64(F.lit(seed + 5), "bin", "block"), "block")
+    candidates = fitting.withColumn("at", F.row_number().over(at)).where(F.col("at") <= BLOCKS)
     queue = F.collect_list(F.struct("block", "words"))
-    queues = held.groupBy("bin").agg(queue.alias("queue")).join(plan, "bin")
+    queues = candidates.groupBy("bin").agg(queue.alias("queue")).join(plan, "bin")
     trials = F.when(F.size("queue") <= SMALL_SOURCE, TRIALS).otherwise(1)
     tried = queues.withColumn("trial", F.explode(F.sequence(F.lit(1), trials)))
     lot = F.transform(
@@ -168,23 +193,22 @@ def plan_mixture(
     repeats: int = 3,
     seed: int = 0,
     words_per_shard: int = WORDS_PER_SHARD,
-) -> tuple[DataFrame, DataFrame, DataFrame, int, int]:
-    """Sizes, targets and drawn blocks with their shards, all stored; number of blocks of a source; number of shards."""
+) -> tuple[DataFrame, DataFrame, DataFrame, Callable[[DataFrame], DataFrame], int]:
+    """Sizes, targets and drawn blocks with their shards, all stored; what gives rows their block; number of shards."""
     sizes = sized(docs, id_column, source, text, seed)
     goals = materialise(targets(sizes, weights, repeats), "mix-targets")
     sources, total = goals.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
-    blocks = block_count(sources)
+    blocks, finer = block_count(sources), finer_sources(goals, sources)
     depth = min(MOST_SPLITS, (total // words_per_shard).bit_length())
-    shards = materialise(split(draws(sizes, goals, blocks, seed), depth, seed), "mix-shards")
-    return sizes, goals, shards, blocks, 2**depth
+    shards = materialise(split(draws(sizes, goals, finer, blocks, seed), depth, seed), "mix-shards")
+    return sizes, goals, shards, partial(with_block, finer=finer, blocks=blocks), 2**depth
 
 
 def mixture_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken. See ``plan_mixture`` for the options."""
-    sizes, goals, shards, blocks, _ = plan_mixture(docs, **options)
+    sizes, goals, shards, placed, _ = plan_mixture(docs, **options)
     copies = materialise(shards.groupBy("bin", "block").agg(F.count("*").alias("copies")), "mix-copies")
-    placed = sizes.withColumn("block", F.pmod("place", F.lit(blocks)))
-    counted = join_stored(placed, copies, ["bin", "block"], "left", 80)
+    counted = join_stored(placed(sizes), copies, ["bin", "block"], "left", 80)
     return join_stored(counted, goals.drop("source"), ["bin"], "inner", 120).select(
         F.col("id").alias("doc_id"),
         "size",
@@ -196,15 +220,15 @@ def mixture_report(docs: DataFrame, **options) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: rows of ``docs``, each as often as it is taken, dealt to the shards and shuffled in each."""
-    _, _, shards, blocks, count = plan_mixture(docs, **options)
+    _, _, shards, placed, count = plan_mixture(docs, **options)
     id_column, source, seed = options.get("id_column", "doc_id"), options.get("source", "source"), options.get("seed", 0)
     dealt = materialise(shards.groupBy("bin", "block").agg(F.sort_array(F.collect_list("shard")).alias("shards")), "mix-dealt")
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         _bin(source).alias("bin"),
-        F.pmod(_place(id_column, source, seed), F.lit(blocks)).alias("block"),
+        _place(id_column, source, seed).alias("place"),
     )
-    rows = join_stored(keyed, dealt, ["bin", "block"], "inner", 120).select("row", F.posexplode("shards").alias("copy", "shard"))
+    rows = join_stored(placed(keyed), dealt, ["bin", "block"], "inner", 120).select("row", F.posexplode("shards").alias("copy", "shard"))
     shuffled = rows.repartitionById(count, F.col("shard")).sortWithinPartitions(
         "shard", F.xxhash64(F.lit(seed + 4), "shard", f"row.{id_column}", "copy")
     )

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from moorage.llm import mixing
 from moorage.llm.mixing import mixed_documents, mixture_report, plan_mixture
@@ -80,3 +81,17 @@ def test_many_sources(spark, monkeypatch):
     monkeypatch.setattr(mixing, "POOL", 64)
     docs = spark.createDataFrame([(i, "a b c", f"s{i % 40:02}", 0, "") for i in range(400)], SCHEMA)
     assert sum(r.taken for r in mixture_report(docs).collect()) == pytest.approx(1200, rel=0.1)
+
+
+@pytest.mark.parametrize("sources, hot", [(2000, 0), (5000, 2)])
+def test_a_hot_source_among_thousands_comes_near_its_target(spark, sources, hot):
+    """A third of all rows; the weight of the source is its place among the names, 1 to 3."""
+    number = F.when(F.col("id") % 3 == 0, hot).otherwise(F.col("id") % sources)
+    docs = spark.range(sources * 15).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("w "), (F.xxhash64("id") % 5 + 9).cast("int")).alias("text"),
+        F.format_string("s%05d", number).alias("source"),
+    )
+    report = mixture_report(docs).join(docs, "doc_id").where(F.col("source") == f"s{hot:05}")
+    (row,) = report.agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert row.taken == pytest.approx(row.target, rel=0.03, abs=3)
