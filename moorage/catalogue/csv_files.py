@@ -48,10 +48,10 @@ def _load(spark: SparkSession, root: str, **options) -> tuple[DataFrame, DataFra
     return spark.table(name), result.report
 
 
-def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def manifest_scan(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Bytes of data per folder, leaving out one header line per file."""
     root = write_files(spark, sf_dir)
-    files = list_files(spark, root, pattern=r"lake/.*\.csv", base=root)
+    files = list_files(spark, root, pattern=r"lake/.*\.csv", base=root, **options)
     return files.groupBy("merchant").agg(
         F.sum(F.col("length") - len("key,name,nation\n")).alias("data_bytes"),
         F.bool_and(F.length("content_hash") == 32).alias("hashed"),
@@ -69,15 +69,15 @@ def csv_per_file_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def csv_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_land(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Files landed twice: the second load finds nothing new. Row ids are unique, hashes match the files."""
     root = write_files(spark, sf_dir)
     name, location = scratch_table(spark)
-    load = CsvLoad(table=name, base=root, pattern=r"lake/.*\.csv", cluster=True)
+    load = CsvLoad(table=name, base=root, pattern=r"lake/.*\.csv", cluster=True, **options)
     load_csv(spark, load, root, location)
     load_csv(spark, load, root, location)
     rows = spark.table(name).join(
-        list_files(spark, root, base=root).select(F.col("path").alias("filename"), "content_hash"), "filename"
+        list_files(spark, root, base=root, **options).select(F.col("path").alias("filename"), "content_hash"), "filename"
     )
     return rows.groupBy(F.split("filename", "/")[1].alias("segment")).agg(
         F.count("*").alias("n"),
@@ -87,6 +87,16 @@ def csv_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def manifest_scan_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``manifest_scan`` with every file taken as a large one."""
+    return manifest_scan(spark, sf_dir, max_content_bytes=1)
+
+
+def csv_land_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``csv_land`` with every file taken as a large one."""
+    return csv_land(spark, sf_dir, max_content_bytes=1)
+
+
 def csv_explicit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column names given by the caller instead of the header: the same name for each position."""
     root = write_files(spark, sf_dir)
@@ -134,6 +144,8 @@ QUERIES = {
     "manifest_scan": manifest_scan,
     "csv_per_file_headers": csv_per_file_headers,
     "csv_land": csv_land,
+    "manifest_scan_large": manifest_scan_large,
+    "csv_land_large": csv_land_large,
     "csv_explicit_columns": csv_explicit_columns,
     "csv_load_summary": csv_load_summary,
     "csv_load_totals": csv_load_totals,
@@ -169,3 +181,5 @@ SQL = {
         SELECT DISTINCT c_mktsegment AS folder, CAST(3 AS BIGINT) AS n_columns, CAST(NULL AS VARCHAR) AS problem FROM customer
         UNION ALL SELECT 'header_only', 2, NULL UNION ALL SELECT 'repeated', 0, 'duplicate_columns'""",
 }
+SQL["manifest_scan_large"] = SQL["manifest_scan"]
+SQL["csv_land_large"] = SQL["csv_land"]

@@ -19,12 +19,14 @@ def with_headers(files: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
-def with_columns(files: DataFrame, columns: list[str], max_content_bytes: int = MAX_CONTENT_BYTES) -> DataFrame:
+def with_columns(
+    files: DataFrame, columns: list[str], max_content_bytes: int = MAX_CONTENT_BYTES, encoding: str = "UTF-8"
+) -> DataFrame:
     """Selected files with column names given by the caller; headers are not read."""
     return files.select(
         "*",
         F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("names"),
-        way_to_read(files, max_content_bytes).alias("reading"),
+        way_to_read(files, max_content_bytes, encoding).alias("reading"),
         F.when(F.col("length") == 0, "could_not_read_header").alias("problem"),
     )
 

@@ -38,8 +38,9 @@ def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> D
         fingerprint=load.fingerprint,
         max_content_bytes=load.max_content_bytes or MAX_CONTENT_BYTES,
         encoding=load.encoding,
+        where=after_start(load.start_date),
     )
-    candidates = materialise(manifest.where(after_start(load.start_date)), "manifest")
+    candidates = materialise(manifest, "manifest")
     ledger = loaded_files(spark, read_table(spark, load.table))
     chosen = select_files(candidates, ledger, load.start_date, load.load_mode, load.max_files, load.latest_of)
     return materialise(chosen, "files")
@@ -48,7 +49,7 @@ def choose_files(spark: SparkSession, load: CsvLoad, root: str | list[str]) -> D
 def name_columns(spark: SparkSession, load: CsvLoad, files: DataFrame) -> DataFrame:
     """The chosen files with their column names, stored."""
     if load.columns:
-        named = with_columns(files, list(load.columns), load.max_content_bytes or MAX_CONTENT_BYTES)
+        named = with_columns(files, list(load.columns), load.max_content_bytes or MAX_CONTENT_BYTES, load.encoding)
     else:
         headers = read_headers(
             spark,

@@ -22,6 +22,9 @@ from moorage.sources.files import COMPRESSED, MAX_CONTENT_BYTES
 # Ways to read a file: by one task, in splits with a record per line, in splits with records put together.
 WHOLE, LINES, RECORDS = "whole", "lines", "records"
 
+# Encodings whose lines can be told apart by bytes and decoded one by one; files in others are not split.
+SPLIT_ENCODINGS = ("UTF-8", "ISO-8859-1")
+
 # Quoted empty text stays empty, an unquoted empty cell is NULL, a doubled quote is a quote.
 PARSE = {"quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": "", "mode": "PERMISSIVE"}
 
@@ -60,12 +63,14 @@ def parse_record(record: Column, width: int, sep: str = ",") -> Column:
 
 def _split_lines(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
     """Lines of files read in splits: ``uri``, where the split starts, place of the line in it, text."""
-    lines = spark.read.option("encoding", encoding).option("lineSep", "\n").text([glob_escaped(p) for p in paths])
+    lines = spark.read.option("lineSep", "\n").text([glob_escaped(p) for p in paths])
+    # the text source gives the bytes as they are, whatever its option says
+    value = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
     return lines.select(
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
-        "value",
+        value.alias("value"),
     )
 
 
@@ -162,6 +167,7 @@ def read_headers(
     route = (
         F.when(F.col("full_path").rlike(COMPRESSED), "scan")
         .when(F.col("length") <= max_content_bytes, "content")
+        .when(F.lit(encoding.upper() not in SPLIT_ENCODINGS), "scan")
         .otherwise("split")
     )
     paths: dict[str, list[str]] = {"scan": [], "content": [], "split": []}
@@ -180,10 +186,10 @@ def read_headers(
     )
 
 
-def way_to_read(files: DataFrame, max_content_bytes: int = MAX_CONTENT_BYTES) -> Column:
+def way_to_read(files: DataFrame, max_content_bytes: int = MAX_CONTENT_BYTES, encoding: str = "UTF-8") -> Column:
     """How to read files whose lines nobody has looked at."""
     whole = files["full_path"].rlike(COMPRESSED) | (files["length"] <= max_content_bytes)
-    return F.when(whole, WHOLE).otherwise(RECORDS)
+    return F.when(whole | F.lit(encoding.upper() not in SPLIT_ENCODINGS), WHOLE).otherwise(RECORDS)
 
 
 def _content_headers(spark: SparkSession, paths: list[str], width: int, sep: str, encoding: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from moorage.functions.csv_text import first_record
-from moorage.functions.paths import decoded_uri, file_date, merchant, relative_path, whole_match
+from moorage.functions.paths import decoded_uri, file_date, glob_escaped, merchant, relative_path, whole_match
 
-# Larger files are never taken into memory: they are told apart by length and time of change.
+# Larger files are never taken into memory: their content is hashed in splits.
 MAX_CONTENT_BYTES = 128 * 1024 * 1024
 
 EMPTY_CONTENT = "d41d8cd98f00b204e9800998ecf8427e"  # MD5 of no bytes
@@ -24,13 +24,15 @@ def list_files(
     max_content_bytes: int = MAX_CONTENT_BYTES,
     encoding: str = "UTF-8",
     include_empty: bool = True,
+    where: Column | None = None,
 ) -> DataFrame:
     """Manifest of the files below ``root``, one row each.
 
     ``pattern`` must match the whole relative path. It is applied to file metadata, so files it excludes
     are not opened. ``fingerprint="content"`` hashes the bytes, and takes the header record from the same
-    read; ``"listing"`` hashes length and time of change and opens nothing. ``header`` is NULL where the
-    content was not read.
+    read; ``"listing"`` hashes length and time of change and opens nothing. The hash of a file beyond
+    ``max_content_bytes`` is one of its lines instead of its bytes. ``header`` is NULL where the content
+    was not read. ``where`` is a condition on path, date and merchant.
     """
     if fingerprint not in ("content", "listing"):
         raise ValueError(f"unknown fingerprint {fingerprint!r}")
@@ -61,13 +63,48 @@ def list_files(
         readable = ~decoded_uri(uri).rlike(COMPRESSED)
         small = files.where(F.col("length") <= max_content_bytes)
         large = files.where(F.col("length") > max_content_bytes)
-        found = rows(small, F.md5("content"), F.when(readable, first_record(F.col("content"), encoding))).unionByName(
-            rows(large, by_listing, no_header)
-        )
+        beyond = rows(large, F.md5(F.col("length").cast("string")), no_header)
+        wanted = with_attributes(beyond, base)
+        wanted = (wanted if where is None else wanted.where(where)).select("full_path")
+        paths = [row.full_path for row in wanted.toLocalIterator()]  # file names only
+        if paths:
+            sums = _line_sums(spark, paths)
+            mixed = F.md5(F.concat_ws(":", F.col("length").cast("string"), "sums"))
+            beyond = beyond.join(sums, "uri", "left").withColumn("content_hash", mixed).drop("sums")
+        found = rows(small, F.md5("content"), F.when(readable, first_record(F.col("content"), encoding))).unionByName(beyond)
     found = with_attributes(found, base)
     if include_empty:
         found = found.unionByName(_zero_byte_files(spark, files, pattern, base, fingerprint))
-    return found
+    return found if where is None else found.where(where)
+
+
+def _line_sums(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Sums over the lines of each file, read in splits: of their hashes, and of hash times line number.
+
+    Lines are counted within a split; as the sums are linear in the line number, the lines of the splits
+    before are added per split, so that the result does not depend on where a file is split. Bytes are
+    hashed as they are, of compressed files those of the text.
+    """
+    lines = spark.read.option("lineSep", "\n").text([glob_escaped(p) for p in paths])
+    digest = F.md5("value")
+    parts = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("decimal(10,0)").alias(f"h{i}") for i in range(4)]
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("decimal(10,0)").alias("at"),
+        *parts,
+    )
+    plain = [F.sum(F.col(f"h{i}").cast("decimal(28,0)")).cast("decimal(28,0)").alias(f"s{i}") for i in range(4)]
+    placed = [F.sum(F.col("at") * F.col(f"h{i}")).cast("decimal(38,0)").alias(f"p{i}") for i in range(4)]
+    count = F.count("*").cast("decimal(10,0)").alias("n")
+    splits = lines.groupBy("uri", "block").agg(F.min("at").alias("first"), count, *plain, *placed)
+    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)).cast("decimal(12,0)") - F.col("first")
+    splits = splits.withColumn("shift", shift.cast("decimal(12,0)"))
+    shifted = [F.sum((F.col(f"p{i}") + F.col("shift") * F.col(f"s{i}").cast("decimal(25,0)")).cast("decimal(38,0)")) for i in range(4)]
+    whole = [F.sum(f"s{i}") for i in range(4)]
+    sums = F.concat_ws(":", *[s.cast("string") for s in (F.sum("n"), *whole, *shifted)])
+    return splits.groupBy("uri").agg(sums.alias("sums"))
 
 
 def with_attributes(files: DataFrame, base: str | None = None) -> DataFrame:
