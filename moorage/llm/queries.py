@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moorage.llm.common import table
+from moorage.llm.conversations import conversation_report
 from moorage.llm.exact_search import top_products
+from moorage.llm.fill_middle import fill_in_middle, restored
 from moorage.llm.language import identify_by_fold
 from moorage.llm.licences import scan_licences
 from moorage.llm.mixing import mixture_report
@@ -89,6 +91,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_report(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_licences": op1_licences,
     "op2_warc": op2_warc,
@@ -100,6 +119,8 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ngram_join": op9_ngram_join,
     "op10_mixing": op10_mixing,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {
@@ -144,4 +165,24 @@ SQL = {
         FROM parts p LEFT JOIN rules r
              ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
         GROUP BY p.page_id, p.host, p.path""",
+    "op12_fill_in_middle": """
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+                              sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+             draws AS (
+                 SELECT *, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % (n + 1) AS one,
+                        CAST('0x' || substr(digest, 9, 8) AS BIGINT) % (n + 1) AS two,
+                        CAST('0x' || substr(digest, 17, 8) AS BIGINT) % 100 AS three,
+                        CAST('0x' || substr(digest, 25, 8) AS BIGINT) % 100 AS four FROM texts),
+             parts AS (
+                 SELECT *, substr(text, 1, least(one, two)) AS prefix, substr(text, greatest(one, two) + 1) AS suffix,
+                        substr(text, least(one, two) + 1, greatest(one, two) - least(one, two)) AS middle,
+                        CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR three >= 90
+                             THEN 'plain' WHEN four < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(one, two) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN greatest(one, two) - least(one, two) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
 }

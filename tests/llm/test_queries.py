@@ -9,6 +9,8 @@ from tests.llm.conftest import SMALL
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
     "pages": "page_id bigint, url string, html string",
 }
 
