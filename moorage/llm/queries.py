@@ -9,11 +9,12 @@ from moorage.llm.common import table
 from moorage.llm.conversations import conversation_report
 from moorage.llm.exact_search import top_products
 from moorage.llm.fill_middle import fill_in_middle, restored
-from moorage.llm.language import identify_by_fold
+from moorage.llm.language import held_out, identify_by_fold
 from moorage.llm.licences import scan_licences
 from moorage.llm.mixing import mixture_report
 from moorage.llm.ngram_join import ngram_components
 from moorage.llm.pieces import encode_documents
+from moorage.llm.quality import score_by_fold
 from moorage.llm.token_files import token_report, with_starts, write_tokens
 from moorage.llm.url_rules import judge_urls
 from moorage.llm.vantage_tree import near_neighbours
@@ -91,6 +92,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_report(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return score_by_fold(documents, table(spark, sf_dir, "labels"), held_out(F.col("doc_id")))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_in_middle(table(spark, sf_dir, "documents"), keep=("doc_id",))
     return found.select(
@@ -119,6 +125,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_ngram_join": op9_ngram_join,
     "op10_mixing": op10_mixing,
+    "op11_quality": op11_quality,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_conversation_repair": op13_conversation_repair,
 }
