@@ -6,9 +6,6 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: widest row the landing takes.
-MAX_COLUMNS = 150
-
 
 def cells_schema(width: int) -> str:
     """Positional text columns."""
@@ -19,6 +16,23 @@ def cells_array(width: int, prefix: str = "") -> Column:
     return F.array(*[F.col(f"{prefix}c{i}") for i in range(1, width + 1)])
 
 
+def width_class(cells: Column) -> Column:
+    """Number of columns to parse with: the least power of two that leaves room for a surplus cell, 16 at least."""
+    return F.pow(F.lit(2), F.greatest(F.lit(4), F.ceil(F.log2(cells + 1)))).cast("int")
+
+
+def cell_count(record: Column, sep: str = ",") -> Column:
+    """Cells of a record at most: separators within quotes are counted as well."""
+    return F.length(record) - F.length(F.replace(record, F.lit(sep), F.lit(""))) + 1
+
+
+def ends_in_quotes(content: Column, sep: str = ",", encoding: str = "UTF-8") -> Column:
+    """Whether a whole CSV text leaves a quoted cell open at its end."""
+    text = content.cast("string") if encoding.upper() == "UTF-8" else F.decode(content, encoding)
+    # A line break ends a cell as a separator does, and neither counts within quotes.
+    return F.contains(text, F.lit('"')) & leaves_quote_open(F.replace(text, F.lit("\n"), F.lit(sep)), sep)
+
+
 def first_record(content: Column, encoding: str = "UTF-8") -> Column:
     """Text of the first CSV record of a file, line breaks inside quotes included."""
     text = content.cast("string") if encoding.upper() == "UTF-8" else F.decode(content, encoding)
@@ -56,16 +70,22 @@ def header_names(cells: Column) -> Column:
     )
 
 
-def header_problem(names: Column, max_columns: int = MAX_COLUMNS) -> Column:
+def header_problem(names: Column, max_columns: int | None = None) -> Column:
     """Why a file with these column names cannot be loaded, or NULL."""
+    too_wide = F.lit(False) if max_columns is None else F.size(names) > max_columns
     return (
         F.when(names.isNull(), "could_not_read_header")
         .when(F.size(names) == 0, "no_columns")
-        .when(F.size(names) > max_columns, "too_many_columns")
+        .when(too_wide, "too_many_columns")
         .when(F.size(F.array_distinct(names)) < F.size(names), "duplicate_columns")
     )
 
 
 def row_object(names: Column, cells: Column) -> Column:
-    """Row as VARIANT object; all cells stay text, missing ones are null, surplus ones are cut."""
+    """Row as VARIANT object; all cells stay text, missing ones are null, surplus ones are left out."""
     return F.to_variant_object(F.map_from_arrays(names, F.slice(cells, F.lit(1), F.size(names))))
+
+
+def has_surplus(names: Column, cells: Column) -> Column:
+    """Whether a row holds anything beyond the named columns."""
+    return F.exists(F.slice(cells, F.size(names) + 1, F.lit(1 << 30)), lambda x: x.isNotNull())

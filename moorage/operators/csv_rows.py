@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from moorage.functions.csv_text import row_object
+from moorage.functions.csv_text import has_surplus, row_object, width_class
 from moorage.operators.joins import BROADCAST_BYTES, lookup_join
-from moorage.sources.csv_files import LINES, RECORDS, WHOLE, scan_cells, scan_split_records, way_to_read
+from moorage.sources.csv_files import RECORDS, UNCLOSED, WHOLE, scan_cells, scan_split_records, way_to_read
 from moorage.sources.files import MAX_CONTENT_BYTES
 
 
@@ -20,14 +20,27 @@ def with_headers(files: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def with_columns(
-    files: DataFrame, columns: list[str], max_content_bytes: int = MAX_CONTENT_BYTES, encoding: str = "UTF-8"
+    files: DataFrame,
+    columns: list[str],
+    max_content_bytes: int = MAX_CONTENT_BYTES,
+    encoding: str = "UTF-8",
+    records: DataFrame | None = None,
 ) -> DataFrame:
-    """Selected files with column names given by the caller; headers are not read."""
-    return files.select(
-        "*",
-        F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("names"),
-        way_to_read(files, max_content_bytes, encoding).alias("reading"),
-        F.when(F.col("length") == 0, "could_not_read_header").alias("problem"),
+    """Selected files with column names given by the caller; headers are not parsed.
+
+    ``records`` tells of files how to read them and whether they end within quotes.
+    """
+    names = F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("names")
+    guess = way_to_read(files, max_content_bytes, encoding)
+    empty = F.when(F.col("length") == 0, "could_not_read_header")
+    if records is None:
+        return files.select("*", names, guess.alias("reading"), empty.alias("problem"))
+    told = files.withColumn("guess", guess).join(records.select("uri", F.col("reading").alias("told"), "open"), "uri", "left")
+    return told.select(
+        *files.columns,
+        names,
+        F.coalesce("told", "guess").alias("reading"),
+        F.coalesce(empty, F.when(F.col("open"), UNCLOSED)).alias("problem"),
     )
 
 
@@ -40,30 +53,44 @@ def landing_rows(
 ) -> DataFrame | None:
     """Landing rows of all files without a problem, read in one job; None if there are no such files.
 
-    ``files`` must be stored, since it is read several times. File names go through the driver, because
-    that is how a scan is told what to read; names of columns and the rows do not.
+    ``files`` must be a stored batch, since it is read several times and its names go through the driver,
+    because that is how a scan is told what to read; names of columns and the rows do not. Files are
+    parsed at about their own width, so one wide file doesn't widen the others. ``surplus`` tells of rows
+    that hold more cells than their file has columns.
     """
     good = files.where(F.col("problem").isNull())
     names_size = F.aggregate("names", F.lit(0), lambda n, x: n + F.length(x) + 16)
     total = good.agg(
-        F.max(F.size("names")).alias("width"), F.sum(names_size + F.length("uri") + F.length("path") + 64).alias("bytes")
+        F.count("*").alias("n"), F.sum(names_size + F.length("uri") + F.length("path") + 64).alias("bytes")
     ).first()
-    if total.width is None:
+    if not total.n:
         return None
-    paths: dict[str, list[str]] = {WHOLE: [], LINES: [], RECORDS: []}
-    for row in good.select("full_path", "reading").toLocalIterator():
-        paths[row.reading].append(row.full_path)
-    scans = [
-        scan_cells(spark, paths[way], total.width, skip_header=True, multi_line=way == WHOLE, sep=sep, encoding=encoding)
-        for way in (WHOLE, LINES)
-        if paths[way]
-    ]
-    if paths[RECORDS]:
-        scans.append(scan_split_records(spark, paths[RECORDS], total.width, sep, encoding))
+    paths: dict[tuple[str, int], list[str]] = {}
+    for row in good.select("full_path", "reading", width_class(F.size("names")).alias("width")).toLocalIterator():
+        paths.setdefault((row.reading, row.width), []).append(row.full_path)
+    scans = []
+    for (way, width), some in sorted(paths.items()):
+        if way == RECORDS:
+            scans.append(scan_split_records(spark, some, width, sep, encoding))
+        else:
+            scans.append(scan_cells(spark, some, width, skip_header=True, multi_line=way == WHOLE, sep=sep, encoding=encoding))
     cells = reduce(DataFrame.unionByName, scans)
     lookup = good.select("uri", "names", F.col("path").alias("filename"), F.col("content_hash").alias("file_hash"))
     joined = lookup_join(cells, lookup, "uri", total.bytes, broadcast_bytes)
-    return joined.select(row_object(F.col("names"), F.col("cells")).alias("row_data"), "filename", "file_hash")
+    named = F.col("names"), F.col("cells")
+    return joined.select(row_object(*named).alias("row_data"), "filename", "file_hash", has_surplus(*named).alias("surplus"))
+
+
+def seen_surplus(rows: DataFrame, seen: Observation) -> DataFrame:
+    """Notes while rows pass which files have rows with surplus cells."""
+    return rows.observe(seen, F.collect_set(F.when(F.col("surplus"), F.col("filename"))).alias("files"))
+
+
+def surplus_counts(rows: DataFrame) -> DataFrame:
+    """Rows with surplus cells per file."""
+    return rows.groupBy(F.col("filename").alias("path"), F.col("file_hash").alias("content_hash")).agg(
+        F.count_if("surplus").alias("surplus_rows")
+    )
 
 
 def load_report(files: DataFrame, loaded: DataFrame | None) -> DataFrame:

@@ -12,7 +12,7 @@ ID_STRIDE = 1 << 22
 DOCUMENT_COLUMNS = ["row_id", "row_data", "document_id", "document_hash", "load_timestamp", "collection_name"]
 
 
-def _at(location: str | None) -> str:
+def location_clause(location: str | None) -> str:
     return f" LOCATION '{location}'" if location else ""
 
 
@@ -21,7 +21,7 @@ def create_csv_landing(spark: SparkSession, table: str, location: str | None = N
     spark.sql(
         f"""CREATE TABLE IF NOT EXISTS {table} (
             row_id BIGINT, row_data VARIANT, filename STRING, file_hash STRING,
-            load_timestamp TIMESTAMP_NTZ) USING parquet{_at(location)}"""
+            load_timestamp TIMESTAMP_NTZ) USING parquet{location_clause(location)}"""
     )
 
 
@@ -34,7 +34,7 @@ def create_document_landing(spark: SparkSession, table: str, location: str | Non
         f"""CREATE TABLE IF NOT EXISTS {table} (
             row_id BIGINT, row_data VARIANT, document_id STRING, document_hash STRING,
             load_timestamp TIMESTAMP_NTZ, collection_name STRING) USING parquet
-            PARTITIONED BY (collection_name){_at(location)}"""
+            PARTITIONED BY (collection_name){location_clause(location)}"""
     )
 
 
@@ -50,16 +50,17 @@ def next_row_id(landing: DataFrame) -> int:
     return (landing.agg(F.max("row_id").alias("last")).first().last or 0) + 1
 
 
-def append_rows(rows: DataFrame, table: str, cluster: list[str] | None = None) -> None:
+def append_rows(rows: DataFrame, table: str, cluster: list[str] | None = None, first: int | None = None) -> None:
     """Append to a landing table, with row ids above all present ones and the time of the load.
 
+    ``first`` is the first free row id, if the caller knows it; else the table is asked.
     ``cluster`` names columns to lay the rows out by; that takes a shuffle, so it is left to the caller.
     A scan leaves the rows of a file together as it is.
     """
     landing = rows.sparkSession.table(table)
     if cluster:
         rows = clustered(rows, cluster)
-    stamped = rows.withColumn("row_id", row_ids(next_row_id(landing)))
+    stamped = rows.withColumn("row_id", row_ids(next_row_id(landing) if first is None else first))
     if "load_timestamp" not in rows.columns:
         stamped = stamped.withColumn("load_timestamp", F.localtimestamp())
     stamped.select(*landing.columns).write.insertInto(table)

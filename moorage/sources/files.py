@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from moorage.functions.csv_text import first_record
+from moorage.functions.csv_text import ends_in_quotes, first_record
 from moorage.functions.paths import decoded_uri, file_date, glob_escaped, merchant, relative_path, whole_match
+from moorage.session import materialise
 
 # Larger files are never taken into memory: their content is hashed in splits.
 MAX_CONTENT_BYTES = 128 * 1024 * 1024
 
 EMPTY_CONTENT = "d41d8cd98f00b204e9800998ecf8427e"  # MD5 of no bytes
 COMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|xz)$"
+UNSPLIT = r"(?i)\.(gz|gzip|deflate|lz4|snappy|zst|xz)$"  # bz2 is read in splits
 
 
 def list_files(
@@ -51,6 +56,8 @@ def list_files(
             "length",
             content_hash.alias("content_hash"),
             header.alias("header"),
+            F.col("modificationTime").alias("modified"),
+            F.lit(None).cast("boolean").alias("unclosed"),
         )
 
     by_listing = F.md5(
@@ -78,6 +85,60 @@ def list_files(
     return found if where is None else found.where(where)
 
 
+def with_content(
+    spark: SparkSession,
+    files: DataFrame,
+    max_content_bytes: int = MAX_CONTENT_BYTES,
+    encoding: str = "UTF-8",
+    sep: str = ",",
+) -> DataFrame:
+    """Listed files with the hash of their content and, of those small enough, their header record and last quote.
+
+    ``files`` are a stored batch, whose names go through the driver; nothing else is opened.
+    """
+    names = files.where(F.col("length") > 0).select("full_path", (F.col("length") > max_content_bytes).alias("large"))
+    paths: dict[bool, list[str]] = {False: [], True: []}
+    for row in names.toLocalIterator():
+        paths[row.large].append(row.full_path)
+    rows = files.drop("content_hash", "header", "unclosed")
+    untold = [F.lit(None).cast("string").alias("header"), F.lit(None).cast("boolean").alias("unclosed")]
+    found = [rows.where(F.col("length") == 0).select("*", F.lit(EMPTY_CONTENT).alias("content_hash"), *untold)]
+    if paths[False]:
+        read = spark.read.format("binaryFile").load([glob_escaped(p) for p in paths[False]])
+        readable = ~decoded_uri(F.col("_metadata.file_path")).rlike(COMPRESSED)
+        content = read.select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.md5("content").alias("content_hash"),
+            F.when(readable, first_record(F.col("content"), encoding)).alias("header"),
+            F.when(readable, ends_in_quotes(F.col("content"), sep, encoding)).alias("unclosed"),
+        )
+        found.append(rows.join(content, "uri"))
+    if paths[True]:
+        mixed = F.md5(F.concat_ws(":", F.col("length").cast("string"), "sums"))
+        sums = rows.where(F.col("length") > max_content_bytes).join(_line_sums(spark, paths[True]), "uri", "left")
+        found.append(sums.select(*rows.columns, mixed.alias("content_hash"), *untold))
+    return reduce(DataFrame.unionByName, found).select(*files.columns)
+
+
+def in_batches(files: DataFrame, size: int) -> Iterator[DataFrame]:
+    """Stored files by path, ``size`` at a time; each batch starts behind the last path of the one before."""
+    order = F.struct("path", "full_path")
+    rest = files
+    if (n := files.count()) <= size:
+        if n:
+            yield files
+        return
+    while True:
+        batch = materialise(rest.orderBy("path", "full_path").limit(size), "batch")
+        end = batch.agg(F.count("*").alias("n"), F.max(order).alias("last")).first()
+        if end.n:
+            yield batch
+        if end.n < size:
+            return
+        behind = (F.col("path") > end.last.path) | ((F.col("path") == end.last.path) & (F.col("full_path") > end.last.full_path))
+        rest = files.where((F.col("path") >= end.last.path) & behind)
+
+
 def _line_sums(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Sums over the lines of each file, read in splits: of their hashes, and of hash times line number.
 
@@ -119,6 +180,7 @@ def with_attributes(files: DataFrame, base: str | None = None) -> DataFrame:
         file_date(path).alias("file_date"),
         merchant(path).alias("merchant"),
         "header",
+        *[c for c in ("modified", "unclosed") if c in files.columns],
     )
 
 
@@ -139,6 +201,8 @@ def _zero_byte_files(
             F.lit(0).cast("bigint").alias("length"),
             F.lit(EMPTY_CONTENT if fingerprint == "content" else None).cast("string").alias("content_hash"),
             F.lit(None).cast("string").alias("header"),
+            F.lit(None).cast("timestamp").alias("modified"),
+            F.lit(None).cast("boolean").alias("unclosed"),
         ),
         base,
     )

@@ -28,6 +28,9 @@ class CsvLoad:
     sep: str = ","
     encoding: str = "UTF-8"
     cluster: bool = False
+    batch_files: int = 4096  # files landed by one append
+    recheck: bool = False  # open files the ledger knows as well
+    settle_seconds: float = 2.0
     dry_run: bool = False
 
 
@@ -125,8 +128,8 @@ def as_count(value: Any, default: int | None = None) -> int | None:
     return default if value is None or value == "" else int(value)
 
 
-FLAGS = {"dry_run", "cluster"}
-COUNTS = {"max_files", "max_columns", "max_content_bytes", "limit", "batch_size"}
+FLAGS = {"dry_run", "cluster", "recheck"}
+COUNTS = {"max_files", "max_columns", "max_content_bytes", "batch_files", "limit", "batch_size"}
 
 
 def with_options(spec: Any, *layers: Mapping[str, Any] | None) -> Any:
