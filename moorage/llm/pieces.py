@@ -19,6 +19,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,10 @@ from moorage.llm.common import Memo, small_batches
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-CACHED_WORDS = 700_000  # bound of the cache of a worker
+# Bounds of the caches of a worker: some 200 bytes an entry, so below 100 MB each.
+CACHED_WORDS = 450_000
 CACHED_CHARS = 64  # longer words aren't cached
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 400_000
 
 # Kinds of pieces in a model file.
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
@@ -51,8 +53,9 @@ class PieceCodec:
         self.surface = [p.piece.replace(MARK, " ").encode() for p in model.pieces]
         for byte, i in self.byte_ids.items():
             self.surface[i] = bytes([byte])
+        self.surfaces = pa.array(self.surface, pa.large_binary())
         self.words: Memo = Memo(CACHED_WORDS, CACHED_CHARS)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, bool] = {}
         self.automaton = self._automaton()
 
     def _automaton(self):
@@ -94,7 +97,7 @@ class PieceCodec:
         return [s for s in symbols if s]
 
     def compatible(self, left: str, right: str) -> bool:
-        pair = (left, right)
+        pair = f"{left}\n{right}"
         known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
@@ -143,11 +146,11 @@ class PieceCodec:
                 ids.append(known)
         return ids
 
-    def _word(self, word: str) -> tuple[bytes, bytes]:
-        """Ids (32 bits each) and decoded bytes. A word with marks in front stands for itself, else one is before it."""
+    def _word(self, word: str) -> bytes:
+        """Ids, 32 bits each. A word with marks in front stands for itself, else one is before it."""
         pieces = self.merged(word) if word.startswith(MARK) else self.backtracked(MARK + word)
         ids = self._ids(pieces)
-        return np.array(ids, "<i4").tobytes(), self._bytes(ids)
+        return pack(f"<{len(ids)}i", *ids)
 
     def _bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.surface[i] for i in ids])
@@ -159,8 +162,8 @@ class PieceCodec:
         runs = RUNS.findall(MARK + text.replace(" ", MARK)) if text else []
         return [run if run.startswith(MARK, 1) else run[1:] for run in runs]
 
-    def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Ids as 32-bit integers and the decoded text in UTF-8, for each text."""
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids as 32-bit integers, for each text."""
         split = [self.split(text) for text in texts]
         self.words.fill(set().union(*split), lambda new: map(self._word, new))
         results = []
@@ -168,11 +171,27 @@ class PieceCodec:
             known = list(map(self.words.get, words))
             if None in known:
                 known = [k or self._word(w) for k, w in zip(known, words, strict=True)]
-            results.append((b"".join([k[0] for k in known]), b"".join([k[1] for k in known])[1:]))
+            results.append(b"".join(known))
         return results
 
+    def decode_batch(self, ids: pa.Array, offsets: np.ndarray) -> pa.Array:
+        """Texts of the ids between offsets. What pieces stand for lies one after another, so offsets are all it takes."""
+        taken = self.surfaces.take(ids)
+        places = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1, taken.offset * 8)
+        data = np.frombuffer(taken.buffers()[2] or b"", np.uint8)
+        ends = places[offsets].copy()
+        starts = ends[:-1]
+        # Every text but an empty one starts with a space of the encoder's own.
+        spaced = (starts < ends[1:]) & (data[np.minimum(starts, max(0, len(data) - 1))] == 32) if len(data) else np.zeros(len(starts), bool)
+        kept = np.ones(len(data), bool)
+        kept[starts[spaced]] = False
+        lengths = np.diff(ends) - spaced
+        bounds = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
+        body = data[places[offsets[0]] : places[offsets[-1]]][kept[places[offsets[0]] : places[offsets[-1]]]]
+        return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(body)))
+
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.encode_batch([text])[0][0], "<i4").tolist()
+        return np.frombuffer(self.encode_batch([text])[0], "<i4").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         text = self._bytes(ids)
@@ -189,9 +208,9 @@ def encoded(batches: Iterable[pa.RecordBatch], model_file: str) -> Iterator[pa.R
     model = codec(model_file)
     for batch in small_batches(batches, "text"):
         rows = model.encode_batch([t or "" for t in batch.column("text").to_pylist()])
-        offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids, _ in rows])]).astype("i4")
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join([r[0] for r in rows]), "<i4")))
-        decoded = pa.array([r[1] for r in rows], pa.binary()).cast(pa.string())
+        offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in rows])]).astype("i4")
+        flat = pa.array(np.frombuffer(b"".join(rows), "<i4"))
+        ids, decoded = pa.ListArray.from_arrays(pa.array(offsets), flat), model.decode_batch(flat, offsets).cast(pa.string())
         kept = batch.drop_columns(["text"])
         yield pa.RecordBatch.from_arrays([*kept.columns, ids, decoded], names=[*kept.schema.names, "ids", "decoded"])
 
