@@ -32,6 +32,7 @@ from moorage.operators.merge import (
 from moorage.operators.profile import export_estimate, sample_documents, upsert_estimate
 from moorage.session import materialise
 from moorage.sinks.tables import append_rows, create_document_landing, next_row_id, replace_collection, row_ids
+from moorage.sources.collections import selected_documents
 from moorage.sources.tables import read_table
 from moorage.spec import DocumentLoad
 
@@ -68,10 +69,18 @@ class DryRun:
 
 
 def prepare(load: DocumentLoad, documents: DataFrame) -> DataFrame:
-    """Landing columns of a collection: ``documents`` has JSON text in ``raw``, or VARIANT in ``doc``."""
-    parsed = typed_documents(documents) if "doc" in documents.columns else parse_documents(documents)
-    chosen = first_documents(matching(parsed, load.query), load.limit)
-    keep = [load.order_by] if load.order_by else []
+    """Landing columns of a collection: ``documents`` has JSON text in ``raw``, or VARIANT in ``doc``, or typed columns.
+
+    A filter on typed columns goes to the scan as far as they can tell.
+    """
+    keep, query = [load.order_by] if load.order_by else [], load.query
+    if "raw" in documents.columns:
+        parsed = parse_documents(documents)
+    else:
+        if "doc" not in documents.columns:
+            documents, query = selected_documents(documents, query, load.fields, keep)
+        parsed = typed_documents(documents)
+    chosen = first_documents(matching(parsed, query), load.limit)
     return landing_columns(chosen, load.collection, load.fields, need_id=load.mode != "append", keep=keep)
 
 

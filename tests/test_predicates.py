@@ -125,3 +125,52 @@ def test_promoted_columns_compare_within_their_kind(spark, query, ids):
     columns = {f.name: (F.col(f.name), f.dataType) for f in rows.schema}
     found = rows.where(compile_filter(query, F.parse_json(F.lit("{}")), columns))
     assert sorted(r.id for r in found.collect()) == ids
+
+
+ARRAYS = [
+    {"_id": 0, "v": ["a", "b"], "n": 7},
+    {"_id": 1, "v": ["b"], "n": 7.0},
+    {"_id": 2, "v": "Abc", "n": "7"},
+    {"_id": 3, "v": [], "n": -7},
+    {"_id": 4, "v": [{"x": 1, "y": "p"}, {"x": 5, "y": "q"}], "n": [7, 8]},
+    {"_id": 5, "v": None, "n": None},
+    {"_id": 6, "n": True},
+    {"_id": 7, "v": {"x": 1}, "n": {"a": 1}},
+    {"_id": 8, "v": [1, 5, 20], "n": 2.5},
+]
+
+
+@pytest.mark.parametrize(
+    "query, ids",
+    [
+        ({"v": {"$regex": "^a"}}, [0]),
+        ({"v": {"$regex": "^a", "$options": "i"}}, [0, 2]),
+        ({"v": {"$not": {"$regex": "b"}}}, [3, 4, 5, 6, 7, 8]),
+        ({"v": {"$size": 2}}, [0, 4]),
+        ({"v": {"$size": 0}}, [3]),
+        ({"v": {"$all": ["a", "b"]}}, [0]),
+        ({"v": {"$all": ["Abc"]}}, [2]),
+        ({"v": {"$all": []}}, []),
+        ({"v": {"$elemMatch": {"$gt": 4, "$lt": 10}}}, [8]),
+        ({"v": {"$elemMatch": {"x": 1, "y": "q"}}}, []),
+        ({"v": {"$elemMatch": {"x": {"$gt": 2}, "y": "q"}}}, [4]),
+        ({"v": {"$elemMatch": {"$or": [{"x": 1}, {"x": 9}]}}}, [4]),
+        ({"n": {"$mod": [4, 3]}}, [0, 1, 4]),
+        ({"n": {"$mod": [4, -3]}}, [3]),
+        ({"n": {"$mod": [2, 0]}}, [4, 8]),
+        ({"n": {"$type": "number"}}, [0, 1, 3, 4, 8]),
+        ({"n": {"$type": ["string", "bool"]}}, [2, 6]),
+        ({"v": {"$type": "array"}}, [0, 1, 3, 4, 8]),
+        ({"n": {"$type": "null"}}, [5]),
+        ({"v": {"$type": "object"}}, [4, 7]),
+    ],
+)
+def test_operators_on_arrays_texts_and_types(spark, query, ids):
+    rows = spark.createDataFrame([(json.dumps(d),) for d in ARRAYS], "raw string").select(F.parse_json("raw").alias("doc"))
+    found = rows.where(compile_filter(query, F.col("doc"))).select(F.variant_get("doc", "$._id", "int").alias("i"))
+    assert sorted(r.i for r in found.collect()) == ids
+
+
+def test_unknown_types_are_refused():
+    with pytest.raises(ValueError, match="unknown type"):
+        compile_filter({"v": {"$type": "regex"}}, F.col("doc"))
