@@ -9,7 +9,8 @@ from moorage.functions.documents import canonical_json, strict_json
 from moorage.operators.landing import failures, good_rows, landing_columns, matching, parse_documents
 from moorage.operators.profile import export_estimate, failure_report, sample_documents
 from moorage.plans.document_load import load_documents, prepare
-from moorage.sources.collections import as_documents
+from moorage.session import new_location
+from moorage.sources.collections import as_documents, json_lines
 from moorage.sources.tables import collection_counts, dataset_counts, existing_ids, sample_rows
 from moorage.spec import DocumentLoad, with_options
 
@@ -153,7 +154,7 @@ def doc_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = load_documents(spark, load, damaged_texts(spark, sf_dir), location)
     failed = result.failures.agg(F.count("*").alias("failed"))
     there = F.lit(spark.catalog.tableExists(name)).alias("table_exists")
-    return result.estimate.select("to_export").crossJoin(failed).select("to_export", "failed", there)
+    return result.estimate.select("to_export").join(F.broadcast(failed)).select("to_export", "failed", there)  # one row each
 
 
 def doc_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,8 +182,61 @@ def collection_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dataset_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["customer", "orders", "lineitem", "events", "documents", "pages"]
-    return dataset_counts({n: table(spark, sf_dir, n) for n in names})
+    return dataset_counts({n: table(spark, sf_dir, n) for n in TABLES})
+
+
+PRIORITY = {"o_orderpriority": {"$in": ["1-URGENT", "2-HIGH"]}, "o_custkey": {"$gte": 100}}
+
+
+def doc_typed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed table landed with a filter: numbers and texts are compared in the scan, the date, which becomes text, after it."""
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "_id")
+    query = {**PRIORITY, "$or": [{"o_orderdate": {"$gte": "1996"}}, {"o_orderstatus": {"$ne": "F"}}]}
+    load = DocumentLoad(collection="orders", table="", query=query, fields=("o_custkey", "o_orderpriority"))
+    rows = good_rows(prepare(load, orders))
+    return rows.select("document_id", canonical_json(F.col("row_data")).alias("document"))
+
+
+def doc_filter_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters on arrays, texts, types and remainders."""
+    tagged = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("_id"),
+        F.col("event_type").alias("type"),
+        F.array(F.col("event_type"), (F.col("user_id") % 5).cast("string")).alias("tags"),
+        F.array(
+            F.struct((F.col("user_id") % 7).alias("k"), (F.col("event_id") % 3).alias("v")),
+            F.struct((F.col("user_id") % 3).alias("k"), (F.col("event_id") % 5).alias("v")),
+        ).alias("items"),
+        F.when(F.col("event_id") % 2 == 0, text("event_id")).alias("note"),
+    )
+    query = {
+        "type": {"$regex": "^(P|S)", "$options": "i"},
+        "_id": {"$mod": [3, 1]},
+        "tags": {"$size": 2, "$all": ["purchase"]},
+        "items": {"$elemMatch": {"k": {"$gt": 0}, "v": 1}},
+        "note": {"$type": ["string", "null"]},
+    }
+    rows = good_rows(prepare(DocumentLoad(collection="events", table="", query=query, fields=("type", "note")), tagged))
+    return rows.select("document_id", canonical_json(F.col("row_data")).alias("document"))
+
+
+def doc_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of loads from files of JSON lines: an upsert of damaged texts, and the first hundred of all in id order."""
+    place = new_location(spark, "json")
+    damaged_texts(spark, sf_dir).write.text(f"{place}/damaged")
+    _event_texts(spark, sf_dir).select("raw").write.text(f"{place}/good")
+    twice = json_lines(spark, [f"{place}/damaged", f"{place}/damaged"])
+    parts = []
+    for name, docs, options in (
+        ("upsert", twice, {"mode": "upsert"}),
+        ("limit", json_lines(spark, f"{place}/good"), {"limit": 100}),
+    ):
+        target, location = scratch_table(spark)
+        r = load_documents(spark, DocumentLoad(collection="events", table=target, **options), docs, location)
+        last = spark.table(target).agg(F.max("document_id").alias("last_id"))
+        figures = {"n_read": r.read, "failed": r.failed, "inserted": r.inserted, "updated": r.updated, "unchanged": r.unchanged, "duplicates": r.duplicates}
+        parts.append(last.select(F.lit(name).alias("name"), *[F.lit(v).cast("bigint").alias(c) for c, v in figures.items()], "last_id"))
+    return parts[0].unionByName(parts[1])
 
 
 def _event_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +281,15 @@ CONVERSATION_ROWS = """
            role AS collection_name
     FROM conversations"""
 
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
+
 QUERIES = {
+    "doc_typed_source": doc_typed_source,
+    "doc_filter_operators": doc_filter_operators,
+    "doc_load_summary": doc_load_summary,
     "doc_dry_run": doc_dry_run,
     "variant_extract": variant_extract,
     "doc_land": doc_land,
@@ -247,6 +309,28 @@ QUERIES = {
 }
 
 SQL = {
+    "doc_typed_source": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS document_id,
+               '{"_id":"' || o_orderkey || '","o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '"}' AS document
+        FROM orders
+        WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey >= 100
+              AND (o_orderdate >= TIMESTAMP '1996-01-01' OR o_orderstatus IS DISTINCT FROM 'F')""",
+    "doc_filter_operators": """
+        SELECT CAST(event_id AS VARCHAR) AS document_id,
+               '{"_id":"' || event_id || '","note":' || CASE WHEN event_id % 2 = 0 THEN '"' || event_id || '"' ELSE 'null' END
+               || ',"type":"' || event_type || '"}' AS document
+        FROM events
+        WHERE regexp_matches(event_type, '^(p|s)') AND event_id % 3 = 1 AND event_type = 'purchase'
+              AND ((user_id % 7 > 0 AND event_id % 3 = 1) OR (user_id % 3 > 0 AND event_id % 5 = 1))""",
+    "doc_load_summary": f"""
+        WITH told AS (SELECT event_id, event_id % 10 AS kind FROM events), sums AS (
+             SELECT count(*) AS n, count(*) FILTER (kind BETWEEN 1 AND 6) AS bad, count(*) FILTER (kind NOT BETWEEN 1 AND 6) AS good,
+                    max('e' || event_id) FILTER (kind NOT BETWEEN 1 AND 6) AS last FROM told)
+        SELECT 'upsert' AS name, 2 * n AS n_read, 2 * bad AS failed, good AS inserted, 0::BIGINT AS updated, 0::BIGINT AS unchanged,
+               good AS duplicates, last AS last_id FROM sums
+        UNION ALL
+        SELECT 'limit', count(*), 0, count(*), 0, 0, 0, max(id)
+        FROM (SELECT CAST(event_id AS VARCHAR) AS id FROM events ORDER BY id LIMIT 100)""",
     "doc_dry_run": """
         SELECT count_if(event_id % 10 NOT IN (1, 2, 3, 4, 6)) AS to_export,
                count_if(event_id % 10 IN (1, 2, 3, 4, 6)) AS failed, false AS table_exists
@@ -302,7 +386,7 @@ SQL = {
         SELECT collection_name, count(*) AS n_documents FROM ({CONVERSATION_ROWS}) GROUP BY 1""",
     "dataset_counts": " UNION ALL ".join(
         f"SELECT '{n}' AS collection_name, count(*) AS n_documents FROM {n}"
-        for n in ["customer", "orders", "lineitem", "events", "documents", "pages"]
+        for n in TABLES
     ),
     "dry_run_export": f"""
         SELECT matching, to_export, CAST(ceil(to_export / 1000.0) AS BIGINT) AS batches, sampled, sample_chars,

@@ -63,6 +63,23 @@ def action_counts(actions: DataFrame) -> DataFrame:
     return actions.groupBy("action").agg(F.count("*").alias("n"))
 
 
+def classified(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Source documents, each id once, with their action: insert, update or unchanged.
+
+    Of the target, ids and hashes of documents the source has are looked at; with a small source Spark broadcasts its ids,
+    and the target is not shuffled.
+    """
+    mine = target.where(F.col("document_id") != "").select("document_id", F.col("document_hash").alias("stored"))
+    met = mine.join(source.select("document_id"), "document_id", "left_semi").groupBy("document_id")
+    known = met.agg(
+        F.min("stored").alias("low"), F.max("stored").alias("high"), F.bool_or(F.col("stored").isNull()).alias("unhashed")
+    )
+    new = F.col("document_hash")
+    stale = F.col("unhashed") | (F.col("low") != new) | (F.col("high") != new)
+    action = F.when(F.col("unhashed").isNull(), INSERT).when(stale, UPDATE).otherwise(UNCHANGED)
+    return source.join(known, "document_id", "left").select(*source.columns, action.alias("action"))
+
+
 def inserts(target: DataFrame, source: DataFrame) -> DataFrame:
     """Source documents whose id the target lacks."""
     known = target.where(F.col("document_id") != "").select("document_id").distinct()

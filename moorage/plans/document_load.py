@@ -23,11 +23,10 @@ from moorage.operators.merge import (
     UNCHANGED,
     UPDATE,
     action_counts,
+    classified,
     in_collection,
-    inserts,
     latest_documents,
     updated_rows,
-    upsert_actions,
 )
 from moorage.operators.profile import export_estimate, sample_documents, upsert_estimate
 from moorage.session import materialise
@@ -120,18 +119,21 @@ def load_documents(
         return _result(load, rows, seen, started, inserted=seen.get["read"] - seen.get["failed"])
     source, duplicates = _each_id_once(good, load.order_by)
     target = in_collection(spark.table(load.table), load.collection)
-    counts = {r.action: r.n for r in action_counts(upsert_actions(target, source)).collect()}
+    acted = materialise(classified(target, source), "actions")
+    counts = {r.action: r.n for r in action_counts(acted).collect()}
+    new = acted.where(F.col("action") == INSERT).drop("action")
     n_insert, n_update, n_same = (counts.get(a, 0) for a in (INSERT, UPDATE, UNCHANGED))
     if load.mode == "append_new" or n_update == 0:
         if n_insert:
-            append_rows(inserts(target, source), load.table, cluster)
+            append_rows(new, load.table, cluster)
         if load.mode == "append_new":
             n_same, n_update = n_same + n_update, 0
     else:
-        added = inserts(target, source).withColumns(
+        added = new.withColumns(
             {"row_id": row_ids(next_row_id(spark.table(load.table))), "load_timestamp": F.localtimestamp()}
         )
-        content = updated_rows(target, source).unionByName(added.select(*target.columns))
+        changed = acted.where(F.col("action") == UPDATE).drop("action")
+        content = updated_rows(target, changed).unionByName(added.select(*target.columns))
         replace_collection(content, load.table, load.collection)
     return _result(load, rows, seen, started, n_insert, n_update, n_same, duplicates)
 
