@@ -9,7 +9,7 @@ are tables of drawn blocks, candidates and sources, whose size ``BLOCKS`` and ``
 * Block quotas: whole passes over a source as often as its target allows, then blocks in permuted order as long as
   they fit twice into what is left (in every second trial: once), then the largest that fit, and one more where that comes nearer to the target.
   A source of few blocks tries several permutations. Of more than ``BLOCKS`` blocks that could be taken, so many drawn
-  by hash are the candidates, which is some 64 times what the target can hold.
+  by hash are the candidates; where they hold too few words, all other blocks follow in permuted order by a running sum.
 * Splitting tree: the pool of chosen blocks of all sources is halved again and again, each half a draw without
   replacement, so the counts by source follow the multivariate hypergeometric distribution and sum to the quotas.
 * Each output shard draws its quota from the permuted blocks of each source, no two shards the same, and orders its
@@ -121,7 +121,8 @@ def draws(sizes: DataFrame, goals: DataFrame, finer: DataFrame, blocks: int, see
     # A block of twice the rest or more is never taken. The window drops rows before its shuffle.
     fitting = held.join(plan.select("bin", "rest"), "bin").where(F.col("words") < 2 * F.col("rest"))
     at = Window.partitionBy("bin").orderBy(F.xxhash64(F.lit(seed + 5), "bin", "block"), "block")
-    candidates = fitting.withColumn("at", F.row_number().over(at)).where(F.col("at") <= BLOCKS)
+    ranked = fitting.withColumn("at", F.row_number().over(at))
+    candidates = ranked.where(F.col("at") <= BLOCKS)
     queue = F.collect_list(F.struct("block", "words"))
     queues = candidates.groupBy("bin").agg(queue.alias("queue")).join(plan, "bin")
     trials = F.when(F.size("queue") <= SMALL_SOURCE, TRIALS).otherwise(1)
@@ -165,10 +166,28 @@ def draws(sizes: DataFrame, goals: DataFrame, finer: DataFrame, blocks: int, see
     chosen = F.concat(blocks_taken, F.transform(one_more, lambda item: item["block"]))
     error = F.coalesce(F.get(one_more, F.lit(0))["error"], gap)
     best = filled.withColumn("chosen", chosen).groupBy("bin", "passes").agg(F.min_by("chosen", F.struct(error, "trial")).alias("chosen"))
-    part = best.select("bin", F.explode("chosen").alias("block"), (F.col("passes") + 1).alias("pass"))
+    part = materialise(best.select("bin", F.explode("chosen").alias("block"), (F.col("passes") + 1).alias("pass")), "mix-part")
+    many = materialise(fitting.groupBy("bin").count().where(F.col("count") > BLOCKS).select("bin"), "mix-many")
+    if not many.isEmpty():
+        part = part.unionByName(topped_up(fitting.join(many, "bin", "left_semi"), part, plan, seed))
     return whole.unionByName(part)
 
 
+def topped_up(fitting: DataFrame, part: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """Further blocks of sources whose candidates fell short of the target: bin, block, pass.
+
+    Blocks that aren't taken come in permuted order as long as their running sum stays within what is missing. Blocks
+    too large for that are left out first, so they stop nobody.
+    """
+    taken = fitting.join(part.select("bin", "block"), ["bin", "block"]).groupBy("bin").agg(F.sum("words").alias("got"))
+    short = plan.join(taken, "bin", "left").withColumn("missing", F.col("rest") - F.coalesce("got", F.lit(0)))
+    short = short.where(F.col("missing") > 0).select("bin", "passes", "missing")
+    free = fitting.drop("rest").join(part.select("bin", "block"), ["bin", "block"], "left_anti").join(short, "bin")
+    order = Window.partitionBy("bin").orderBy(F.xxhash64(F.lit(seed + 6), "bin", "block"), "block")
+    summed = free.where(F.col("words") <= F.col("missing")).withColumn("so_far", F.sum("words").over(order))
+    return summed.where(F.col("so_far") <= F.col("missing")).select("bin", "block", (F.col("passes") + 1).alias("pass"))
+
+
 def split(drawn: DataFrame, depth: int, seed: int) -> DataFrame:
     """Output shard of each drawn block: bin, block, pass, shard, of 2 ** depth shards."""
     pool = drawn.withColumn("node", F.lit(0))
@@ -200,7 +219,8 @@ def plan_mixture(
     sources, total = goals.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     blocks, finer = block_count(sources), finer_sources(goals, sources)
     depth = min(MOST_SPLITS, (total // words_per_shard).bit_length())
-    shards = materialise(split(draws(sizes, goals, finer, blocks, seed), depth, seed), "mix-shards")
+    drawn = materialise(draws(sizes, goals, finer, blocks, seed), "mix-drawn")  # split reads it twice
+    shards = materialise(split(drawn, depth, seed), "mix-shards")
     return sizes, goals, shards, partial(with_block, finer=finer, blocks=blocks), 2**depth
 
 

@@ -6,6 +6,10 @@ its radius. By the triangle inequality the side away from a query can be left ou
 radius than its k-th best distance so far. ``factor`` relaxes this: a side is left out once ``factor`` times that
 distance passes the k-th best. Factor 1 restores exact search; with larger ones less is visited and some is missed.
 
+How much is missed depends on the vectors, so each shard chooses its factor: ``SAMPLED`` of its vectors, drawn with a
+fixed seed, are searched with each of ``FACTORS`` in turn and by comparison with all, until the share of true neighbours
+found reaches ``RECALL``. The last of them is 1, with which none is missed.
+
 Queries go down the tree together, those on one side of a node before the others. Vantage points are chosen on a
 bounded sample of the points of a node, but every point is in the tree. Equal vectors are one point with the smallest
 ids, ``k`` + 1 of them, which is all that a query can return. Zero vectors take no part; see ``vectors`` for the rest.
@@ -21,10 +25,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from moorage.llm.vectors import Build, Search, nearest, widened
 
-LEAF = 512
+LEAF = 128
 SAMPLE = 64  # points that the spread of a vantage point is judged on
 TRIED = 8  # vantage points tried
-FACTOR = 5.0
+FACTORS = (5.0, 3.0, 2.0, 1.5, 1.2, 1.0)
+SAMPLED = 64
+RECALL = 0.97
 ROUNDING = 1e-9
 
 
@@ -38,7 +44,7 @@ class Node:
 
 
 class VantageTree:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, factor: float = FACTOR) -> None:
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, factor: float | None = None) -> None:
         order = np.lexsort((ids, *vectors.T)) if vectors.shape[1] else np.argsort(ids)
         ids, vectors = ids[order], vectors[order]
         fresh = np.ones(len(ids), bool)
@@ -49,9 +55,26 @@ class VantageTree:
         norms = (self.vectors**2).sum(axis=1)
         self.largest = float(norms.max(initial=0))
         self.lifted = np.hstack([self.vectors, np.sqrt(np.maximum(self.largest - norms, 0))[:, None]])
-        self.k, self.factor, self.visited = k, factor, 0
+        self.k, self.factor, self.visited = k, factor or 1.0, 0
         self.rng = np.random.default_rng(0)
         self.root = self._build(np.arange(len(starts)))
+        if factor is None and self.root.points is None:
+            self.factor = self._chosen_factor()
+
+    def _chosen_factor(self) -> float:
+        """The largest factor that finds enough of what the sampled vectors have as neighbours."""
+        rows = self.vectors[np.sort(self.rng.choice(len(self.vectors), min(SAMPLED, len(self.vectors)), replace=False))]
+        products = rows @ self.vectors.T
+        k = min(self.k, products.shape[1])
+        least = np.partition(products, products.shape[1] - k, axis=1)[:, products.shape[1] - k] - ROUNDING
+        for self.factor in FACTORS:
+            list(self.search(np.full(len(rows), -1), rows))
+            met = np.take_along_axis(products, np.maximum(self.found, 0), 1) >= least[:, None]
+            hits = np.minimum((met & (self.found >= 0)).sum(axis=1), k)
+            if hits.sum() >= RECALL * k * len(rows):
+                break
+        self.visited = 0
+        return self.factor
 
     def _distances(self, points: np.ndarray, vantage: int) -> np.ndarray:
         return np.sqrt(((self.lifted[points] - self.lifted[vantage]) ** 2).sum(axis=1))
@@ -121,14 +144,17 @@ class VantageTree:
         self.found[target] = np.take_along_axis(np.hstack([self.found[target], names]), order, 1)
 
 
-def tree_search(k: int, factor: float) -> Build:
+def tree_search(k: int, factor: float | None) -> Build:
     def build(ids: np.ndarray, vectors: np.ndarray) -> Search:
         return VantageTree(ids, vectors, k, factor).search
 
     return build
 
 
-def near_neighbours(rows: DataFrame, is_query: Column, k: int, factor: float = FACTOR) -> DataFrame:
-    """query_id, rank, vec_id and score, the inner product, of the ``k`` nearest found of each query."""
+def near_neighbours(rows: DataFrame, is_query: Column, k: int, factor: float | None = None) -> DataFrame:
+    """query_id, rank, vec_id and score, the inner product, of the ``k`` nearest found of each query.
+
+    Without a ``factor`` each shard chooses its own by the recall it measures.
+    """
     not_zero = F.exists("vector", lambda x: x != 0)
     return nearest(rows, is_query, tree_search(k, factor), k, "double", not_zero)

@@ -95,3 +95,21 @@ def test_a_hot_source_among_thousands_comes_near_its_target(spark, sources, hot)
     report = mixture_report(docs).join(docs, "doc_id").where(F.col("source") == f"s{hot:05}")
     (row,) = report.agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
     assert row.taken == pytest.approx(row.target, rel=0.03, abs=3)
+
+
+def test_targets_are_met_where_most_blocks_are_tiny(spark, monkeypatch):
+    """The candidates, so many blocks by number, hold far fewer words than the target."""
+    monkeypatch.setattr(mixing, "BLOCKS", 64)
+    rows = [(i, "w " * 3000, "a", 0, "") for i in range(20)] + [(100 + i, "w", "a", 0, "") for i in range(3000)]
+    rows += [(10_000 + i, "w " * 1000, f"b{i:02}", 0, "") for i in range(59)]
+    report = mixture_report(spark.createDataFrame(rows, SCHEMA)).where("doc_id < 10000").collect()
+    assert report[0].target < 1100
+    assert sum(r.taken for r in report) == pytest.approx(report[0].target, rel=0.05)
+
+
+def test_shards_of_several_depths(spark):
+    docs = spark.createDataFrame([(i, "w " * 20, f"s{i % 5}", 0, "") for i in range(400)], SCHEMA)
+    for words_per_shard, shards in ((10_000, 1), (4000, 4), (500, 32)):
+        _, _, drawn, _, count = plan_mixture(docs, words_per_shard=words_per_shard)
+        held = Counter(r.shard for r in drawn.collect())
+        assert count == shards and max(held.values()) - min(held.get(i, 0) for i in range(count)) <= count.bit_length()

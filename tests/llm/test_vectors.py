@@ -103,3 +103,29 @@ def test_recall(spark):
         [best[r.query_id, r.vec_id] for r in got if (r.query_id, r.vec_id) in best]
     )
     assert sum((r.query_id, r.vec_id) in best for r in got) >= 0.9 * len(best)
+
+
+def made(kind, n=20_000, width=64):
+    draw = np.random.default_rng(7)
+    if kind.startswith("inner"):
+        inner = int(kind.split()[1])
+        rows = draw.standard_normal((n, inner)) @ draw.standard_normal((inner, width)) + 0.05 * draw.standard_normal((n, width))
+    elif kind.startswith("clusters"):
+        rows = draw.standard_normal((50, width))[draw.integers(50, size=n)] + 0.3 * draw.standard_normal((n, width))
+    else:
+        rows = draw.standard_normal((n, width))
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True) if kind.endswith("unit") else rows
+
+
+@pytest.mark.parametrize("kind", ["isotropic unit", "isotropic", "inner 16 unit", "inner 8", "clusters", "clusters unit"])
+def test_each_shard_keeps_its_recall(kind):
+    rows = made(kind)
+    tree = VantageTree(np.arange(len(rows)), rows, 20)
+    assert tree.root.points is None and tree.factor in vantage_tree.FACTORS
+    asked = np.arange(0, len(rows), 200)
+    hits = 0
+    products = rows[asked] @ rows.T
+    products[np.arange(len(asked)), asked] = -np.inf
+    for (_, found, _), row in zip(tree.search(asked, rows[asked]), products, strict=True):
+        hits += len(set(found.tolist()) & set(np.argsort(-row)[:20].tolist()))
+    assert hits >= 0.93 * 20 * len(asked)
