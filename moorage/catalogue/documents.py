@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from moorage.catalogue.tables import epoch_millis, scratch_table, table, text
 from moorage.functions.documents import canonical_json, strict_json
 from moorage.operators.landing import failures, good_rows, landing_columns, matching, parse_documents
-from moorage.operators.profile import export_estimate, failure_report, sample_documents
+from moorage.operators.profile import export_estimate, failure_report, layout_ranges, range_overlaps, sample_documents
 from moorage.plans.document_load import load_documents, prepare
 from moorage.session import new_location
+from moorage.sinks.tables import clustered
 from moorage.sources.collections import as_documents, json_lines
 from moorage.sources.tables import collection_counts, dataset_counts, existing_ids, sample_rows
 from moorage.spec import DocumentLoad, with_options
@@ -281,6 +282,18 @@ CONVERSATION_ROWS = """
            role AS collection_name
     FROM conversations"""
 
+def clustered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents laid out by type and id: the ranges of the files, read back from them, don't overlap but for a hot key."""
+    events = table(spark, sf_dir, "events").select("event_type", "event_id")
+    parts = []
+    for key in ("event_type", "event_id"):
+        place = new_location(spark, "laid-out")
+        clustered(events, [key], 8).write.parquet(place)
+        found = range_overlaps(layout_ranges(spark.read.parquet(place), key))
+        parts.append(found.select(F.lit(key).alias("key"), "n", "overlapping", (F.col("files") > 1).alias("several")))
+    return parts[0].unionByName(parts[1])
+
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -290,6 +303,7 @@ QUERIES = {
     "doc_typed_source": doc_typed_source,
     "doc_filter_operators": doc_filter_operators,
     "doc_load_summary": doc_load_summary,
+    "clustered_ranges": clustered_ranges,
     "doc_dry_run": doc_dry_run,
     "variant_extract": variant_extract,
     "doc_land": doc_land,
@@ -309,6 +323,8 @@ QUERIES = {
 }
 
 SQL = {
+    "clustered_ranges": """
+        SELECT unnest(['event_type', 'event_id']) AS key, count(*) AS n, 0::BIGINT AS overlapping, true AS several FROM events""",
     "doc_typed_source": """
         SELECT CAST(o_orderkey AS VARCHAR) AS document_id,
                '{"_id":"' || o_orderkey || '","o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '"}' AS document

@@ -101,3 +101,22 @@ def failure_report(failures: DataFrame, n: int = EXAMPLES) -> DataFrame:
     """Examples of each type beside the count of the type."""
     counts = failure_counts(failures)
     return failure_examples(failures, n).join(F.broadcast(counts), "error_type")  # one row per error type
+
+
+def layout_ranges(table: DataFrame, key: str) -> DataFrame:
+    """What each data file of a table holds: rows, least and largest key."""
+    return table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("n"), F.min(key).alias("least"), F.max(key).alias("most")
+    )
+
+
+def range_overlaps(ranges: DataFrame) -> DataFrame:
+    """Files, and how many of them begin below the end of an earlier one; those that share a key at the edge don't count.
+
+    The window holds a row per file.
+    """
+    earlier = Window.orderBy("least", "most", "file").rowsBetween(Window.unboundedPreceding, -1)
+    over = F.col("least") < F.max("most").over(earlier)
+    return ranges.withColumn("over", over).agg(
+        F.count("*").alias("files"), F.sum("n").alias("n"), F.count_if("over").alias("overlapping")
+    )

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from moorage.functions.predicates import comparable_columns, compile_filter, split_filter
 from moorage.operators.landing import good_rows
+from moorage.operators.profile import layout_ranges, range_overlaps
 from moorage.plans.document_load import load_documents, prepare
+from moorage.sinks.tables import clustered
 from moorage.sources.collections import as_documents, selected_documents
 from moorage.spec import DocumentLoad
 from tests.conftest import plan_of, rows_of
@@ -94,3 +96,12 @@ def test_a_typed_table_is_landed_as_it_is(spark, typed, table):
     result = load_documents(spark, load, typed)
     assert (result.read, result.failed, result.inserted) == (2, 1, 1)
     assert rows_of(spark.table(table).select("document_id", F.to_json("row_data"))) == [("1", '{"_id":"1","n":5,"s":"a"}')]
+
+
+def test_ranges_of_files_that_are_not_laid_out_overlap(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 4).select((F.col("id") * 7 % 1000).alias("k"))
+    for name, laid_out in (("plain", rows), ("ranged", clustered(rows, ["k"], 4))):
+        laid_out.write.parquet(f"{tmp_path}/{name}")
+    found = {n: range_overlaps(layout_ranges(spark.read.parquet(f"{tmp_path}/{n}"), "k")).first() for n in ("plain", "ranged")}
+    assert found["plain"].overlapping == 3 and tuple(found["ranged"]) == (4, 1000, 0)
+    assert "rand(" not in plan_of(clustered(rows, ["k"], 4))
