@@ -9,6 +9,7 @@ from moorage.functions.documents import canonical_json, strict_json
 from moorage.operators.landing import failures, good_rows, landing_columns, matching, parse_documents
 from moorage.operators.profile import export_estimate, failure_report, layout_ranges, range_overlaps, sample_documents
 from moorage.plans.document_load import load_documents, prepare
+from moorage.plans.quarantine import held_documents, load_with_quarantine, replay
 from moorage.session import new_location
 from moorage.sinks.tables import clustered
 from moorage.sources.collections import as_documents, json_lines
@@ -282,6 +283,18 @@ CONVERSATION_ROWS = """
            role AS collection_name
     FROM conversations"""
 
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged documents held, then tried again twice with a repair of one kind of damage: what is landed, and what stays."""
+    name, location = scratch_table(spark)
+    load = DocumentLoad(collection="events", table=name, mode="upsert")
+    load_with_quarantine(spark, load, damaged_texts(spark, sf_dir), location)
+    runs = [replay(spark, load, lambda t: F.regexp_replace(t, " x$", "")) for _ in range(2)]
+    again = [F.lit(r.inserted if r else 0).cast("bigint").alias(f"replay_{i}") for i, r in enumerate(runs, 1)]
+    left = held_documents(spark, name, "events").agg(F.count("*").alias("held"))
+    landed = spark.table(name).agg(F.count("*").alias("landed"), F.count_distinct("document_id").alias("ids"))
+    return landed.join(F.broadcast(left)).select("landed", "ids", "held", *again)  # one row each
+
+
 def clustered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents laid out by type and id: the ranges of the files, read back from them, don't overlap but for a hot key."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id")
@@ -304,6 +317,7 @@ QUERIES = {
     "doc_filter_operators": doc_filter_operators,
     "doc_load_summary": doc_load_summary,
     "clustered_ranges": clustered_ranges,
+    "quarantine_replay": quarantine_replay,
     "doc_dry_run": doc_dry_run,
     "variant_extract": variant_extract,
     "doc_land": doc_land,
@@ -323,6 +337,13 @@ QUERIES = {
 }
 
 SQL = {
+    "quarantine_replay": """
+        WITH told AS (SELECT event_id % 10 AS kind, props, CASE WHEN event_id % 10 = 5 THEN props ELSE CAST(event_id AS VARCHAR) END AS text
+                      FROM events)
+        SELECT count(*) FILTER (kind IN (0, 2, 7, 8, 9)) AS landed, count(*) FILTER (kind IN (0, 2, 7, 8, 9)) AS ids,
+               (SELECT count(*) FROM (SELECT DISTINCT kind, text FROM told WHERE kind IN (1, 3, 4, 5, 6))) AS held,
+               count(*) FILTER (kind = 2) AS replay_1, 0::BIGINT AS replay_2
+        FROM told""",
     "clustered_ranges": """
         SELECT unnest(['event_type', 'event_id']) AS key, count(*) AS n, 0::BIGINT AS overlapping, true AS several FROM events""",
     "doc_typed_source": """
