@@ -31,7 +31,7 @@ SPLIT_ENCODINGS = ("UTF-8", "ISO-8859-1")
 
 # Quoted empty text stays empty, an unquoted empty cell is NULL, a doubled quote is a quote.
 PARSE = {"quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": "", "mode": "PERMISSIVE", "maxColumns": "131072"}
-FIRST_WIDTH = 1024
+FIRST_WIDTH = 256
 
 
 def _options(sep: str, encoding: str) -> dict[str, str]:
