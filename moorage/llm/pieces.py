@@ -29,10 +29,10 @@ from moorage.llm.common import Memo, small_batches
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
-# Bounds of the caches of a worker: some 200 bytes an entry, so below 100 MB each.
+# Bounds of the caches of a worker: some 220 bytes a word and 130 a pair, so about 100 MB each.
 CACHED_WORDS = 450_000
 CACHED_CHARS = 64  # longer words aren't cached
-CACHED_PAIRS = 400_000
+CACHED_PAIRS = 800_000
 
 # Kinds of pieces in a model file.
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
@@ -55,7 +55,8 @@ class PieceCodec:
             self.surface[i] = bytes([byte])
         self.surfaces = pa.array(self.surface, pa.large_binary())
         self.words: Memo = Memo(CACHED_WORDS, CACHED_CHARS)
-        self.pairs: dict[str, bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.index = {piece: i for i, piece in enumerate(self.scores)}
         self.automaton = self._automaton()
 
     def _automaton(self):
@@ -97,7 +98,10 @@ class PieceCodec:
         return [s for s in symbols if s]
 
     def compatible(self, left: str, right: str) -> bool:
-        pair = f"{left}\n{right}"
+        first, second = self.index.get(left), self.index.get(right)
+        if first is None or second is None:  # a character that is no piece merges with nothing
+            return self.merged(left + right) == [left, right]
+        pair = first << 32 | second
         known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
