@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from moorage.llm.vectors import Build, Search, nearest, widened
 
-LEAF = 128
+LEAF = 512
 SAMPLE = 64  # points that the spread of a vantage point is judged on
 TRIED = 8  # vantage points tried
 FACTORS = (5.0, 3.0, 2.0, 1.5, 1.2, 1.0)
