@@ -9,11 +9,14 @@ Texts with one set are one class, found by a digest, and joined as one. Classes
   is far above the mean are dealt to several tasks.
 * Hubs. Of the classes at a signature, the smallest is the hub. Pairs of hub and class, as many as rows, however large
   the group, are joined if what they share allows it. Groups whose classes are in one component by then are done.
-* Rest. Signatures of the open groups that lie in the same classes are put together, with their number as a weight.
-  Pairs of different components in a group are added up; what two sets share among their first, and how much follows
-  after it, bounds what they share at all, and the few pairs that can still be similar enough are joined.
-* Prefix tree. The sets to be joined with a hub, in bounded chunks, are stored as a prefix tree in global (hash) order.
-  It is walked depth first. What a common beginning shares with the hub is counted once for all sets below, and a
+* Blocks. Signatures that lie in the same classes are put together, with their number as a weight. In a few rounds each
+  class goes to the largest of its open groups that it has not been in yet. A group is dealt to chunks of bounded number
+  and size, and each two chunks meet in one task, which joins sets of different components only and gives a spanning
+  forest of what it links: a group of any size costs as many rows as it has classes, times its chunks, and no pairs.
+* Rest. Pairs of different components that share open groups but met in no block: what two sets share among their first,
+  and how much follows after it, bounds what they share at all, and the few that can still be similar enough are joined.
+* Prefix tree. The sets to be joined with a hub or in a block are stored as a prefix tree in global (hash) order.
+  It is walked depth first. What a common beginning shares with a set is counted once for all sets below, and a
   subtree is left as soon as what remains of its sets can't lead to enough.
 
 So every link between classes is either found or known to lie within a component. Nothing is capped, and no group is
@@ -41,6 +44,8 @@ from moorage.session import materialise
 SLOT_BITS = 20  # of the sketch
 SKETCH_BLOCKS = 16
 CHUNK = 256  # sets of a prefix tree
+CHUNK_GRAMS = 1 << 20  # and their n-grams, on average
+ROUNDS = 3  # groups of a class that are compared in blocks
 WEIGHTS = (1 << 24) - 1  # bits of a group's key that hold its weight; all of them: any weight
 STEP = 64  # n-grams between two looks at the bound
 HOT, SALTS = 8, 64  # n-grams whose slot counts so many times the mean are dealt to so many tasks
@@ -294,20 +299,33 @@ def linked_classes(rows: DataFrame, stored: DataFrame, full: DataFrame, classes:
     texts = join_stored(held, twins, ["doc_id"], "left_anti", 16).select("text")
     members = shared_signatures(signatures(texts, sketch(stored)))
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        """The links among pairs (a, b), which are stored: reads the sets of their classes."""
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """node and set of these classes, read from their texts."""
         wanted = classes.join(nodes, "node", "left_semi").select(F.col("first").alias("doc_id"))
         chosen = join_stored(held, materialise(wanted, "wanted"), ["doc_id"], "left_semi", 16)
-        return joined(pairs, set_bytes(chosen.select("text")))
+        return set_bytes(chosen.select("text"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The links among pairs (a, b), which are stored."""
+        return joined(pairs, sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()))
 
     groups_of = grouped(members)
     links = checked(materialise(hub_pairs(groups_of), "pairs"))
     labels = components(links)
-    more = checked(materialise(open_pairs(groups_of, labels), "pairs"))
-    if more.isEmpty():
+    known = join_stored(groups_of, labels, ["node"], "left", 32).withColumn("label", F.coalesce("label", "node"))
+    rest = open_groups(known.withColumn("met", F.array().cast("array<bigint>")))
+    if rest.isEmpty():
         return labels
-    return components(materialise(links.unionByName(more), "links"))
+    sets = materialise(sets_of(rest.select("node").distinct()), "open-sets")
+    for _ in range(ROUNDS):
+        blocks, more = block_links(rest, sets)
+        links = links.unionByName(more)
+        rest = open_groups(relabelled(rest.drop("met").join(blocks, "node"), components(more)))
+        if rest.isEmpty():
+            break
+    else:
+        links = links.unionByName(joined(materialise(open_pairs(rest), "pairs"), sets))
+    return components(materialise(links, "links"))
 
 
 def hub_pairs(rows: DataFrame) -> DataFrame:
@@ -319,20 +337,97 @@ def hub_pairs(rows: DataFrame) -> DataFrame:
     return counted.where(possible("shared", "a_n", "a_place", "b_n", "b_place")).select("a", "b")
 
 
-def open_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes in different components, if what they share allows a link; each once.
+def open_groups(rows: DataFrame) -> DataFrame:
+    """Rows of those groups that hold several components and have not met as a whole in one round; stored.
+
+    ``met`` lists the group each class was compared in by round, 0 where it had none left.
+    """
+    rows = materialise(rows, "labelled")
+    ends = rows.groupBy("key").agg(
+        F.min("label").alias("least"),
+        F.max("label").alias("most"),
+        *[F.min(F.get("met", F.lit(i))).alias(f"low_{i}") for i in range(ROUNDS)],
+        *[F.max(F.get("met", F.lit(i))).alias(f"high_{i}") for i in range(ROUNDS)],
+    )
+    whole = F.lit(False)
+    for i in range(ROUNDS):
+        whole = whole | F.coalesce((F.col(f"low_{i}") == F.col(f"high_{i}")) & (F.col(f"low_{i}") != 0), F.lit(False))
+    return materialise(rows.join(ends.where("least < most").where(~whole).select("key"), "key"), "open")
+
+
+def relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the labels of their labels, where these have one."""
+    nearer = labels.select(F.col("node").alias("label"), F.col("label").alias("nearer"))
+    return join_stored(rows, nearer, ["label"], "left", 32).withColumn("label", F.coalesce("nearer", "label")).drop("nearer")
+
+
+def forest(labels: np.ndarray, chunks: np.ndarray, met: np.ndarray, grams: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of labels that connect what the sets of a block link: a spanning forest.
+
+    A block holds one chunk, all of whose sets meet, or two, whose sets meet across. Sets that met in a round before
+    (equal numbers in ``met``) or are connected by now are left out.
+    """
+    order = np.array(sorted(range(len(grams)), key=grams.__getitem__))
+    root, chunks, met = labels[order].copy(), chunks[order], met[order]
+    sizes = np.array([len(grams[i]) // 8 for i in order])
+    across = chunks.min() < chunks.max()
+    links = []
+    for at in np.flatnonzero(chunks == chunks.min()):
+        others = np.flatnonzero(chunks == chunks.max()) if across else np.arange(at + 1, len(order))
+        fit = np.minimum(sizes[others], sizes[at]) * OF >= np.maximum(sizes[others], sizes[at]) * LEAST
+        again = ((met[others] == met[at]) & (met[at] != 0)).any(axis=1)
+        others = others[(root[others] != root[at]) & fit & ~again]
+        for place in tree_join(grams[order[at]], [grams[order[i]] for i in others]) if len(others) else ():
+            other = others[place]
+            if root[other] != root[at]:
+                links.append((int(labels[order[at]]), int(labels[order[other]])))
+                root[root == root[other]] = root[at]
+    return links
+
+
+def block_links(rest: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round of blocks: the classes with their new ``met``, and the links (a, b) of labels it found; both stored."""
+    sizes = rest.groupBy("key").agg(F.count("*").alias("size"))
+    left = F.when(~F.array_contains("met", F.col("key")), F.struct("size", "key"))
+    best = rest.join(sizes, "key").groupBy("node", "n", "label", "met").agg(F.max(left)["key"].alias("block"))
+    chosen = materialise(best.withColumn("block", F.coalesce("block", F.lit(0).cast("bigint"))), "blocks")
+
+    parts = F.greatest(F.ceil(F.count("*") / F.lit(CHUNK)), F.ceil(F.sum("n") / F.lit(CHUNK_GRAMS)))
+    counts = chosen.where("block <> 0").groupBy("block").agg(F.count("*").alias("members"), parts.alias("parts"))
+    placed = chosen.join(counts.where("members > 1").drop("members"), "block")
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), "parts"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
+    dealt = placed.select("block", "chunk", "node", "label", "met", other).select(
+        "block", "chunk", "node", "label", "met", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+    )
+    dealt = dealt.join(sets, "node").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high")
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), table in groups(batches, ["block", "low", "high"]):
+            chunks = table.column("chunk").to_numpy()
+            if low < high and chunks.min() == chunks.max():
+                continue  # the other chunk is empty
+            met = np.array(table.column("met").to_pylist(), np.int64).reshape(len(chunks), -1)
+            pairs = forest(table.column("label").to_numpy(), chunks, met, table.column("grams").to_pylist())
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    columns = dealt.select("block", "low", "high", "chunk", "label", "met", "grams")
+    links = materialise(columns.mapInArrow(compare, "a bigint, b bigint"), "links")
+    return chosen.select("node", F.concat("met", F.array("block")).alias("met")), links
+
+
+def open_pairs(rest: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes in different components that met in no block, if what they share allows a link; each once.
 
     Every class carries the list of its open groups, in the global order. A pair is made in the last group that both
     lists hold, and only if the groups in both can weigh enough and enough can follow.
     """
-    known = join_stored(rows, labels, ["node"], "left", 32).withColumn("label", F.coalesce("label", "node"))
-    known = materialise(known, "labelled")
-    ends = known.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
-    rest = materialise(known.join(ends.select("key"), "key"), "open")
     lists = rest.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "key")))["key"].alias("keys"))
     full = rest.drop("weight").join(lists, "node")
     other = full.select([F.col(c).alias(f"b_{c}") for c in full.columns])
-    apart = (F.col("node") < F.col("b_node")) & (F.col("label") != F.col("b_label")) & fitting("n", "b_n")
+    met = F.exists(F.zip_with("met", "b_met", lambda a, b: (a == b) & (a != 0)), lambda same: same)
+    apart = (F.col("node") < F.col("b_node")) & (F.col("label") != F.col("b_label")) & fitting("n", "b_n") & ~met
 
     def weighed(total: Column, key: Column) -> Column:
         weight = key.bitwiseAND(F.lit(WEIGHTS))
@@ -344,8 +439,8 @@ def open_pairs(rows: DataFrame, labels: DataFrame) -> DataFrame:
         return (F.get(both, F.size(both) - 1) == F.col("key")) & enough
 
     once = F.exists(F.array(F.array_intersect("keys", "b_keys")), last_and_enough)
-    met = full.join(other, (F.col("key") == F.col("b_key")) & apart & once)
-    return met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))
+    pairs = full.join(other, (F.col("key") == F.col("b_key")) & apart & once)
+    return pairs.select(F.col("node").alias("a"), F.col("b_node").alias("b"))
 
 
 def possible(shared: str | Column, a_n: str, a_place: str, b_n: str, b_place: str) -> Column:

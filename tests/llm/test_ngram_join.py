@@ -129,3 +129,54 @@ def test_rows_that_repeat_an_id(spark):
 def test_query_against_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in op9_ngram_join(spark, SMALL).collect()), key=repr) == brute(docs)
+
+
+@pytest.mark.parametrize("chunks", [1, 2])
+def test_forest_of_a_block_against_brute_force(chunks):
+    rng = np.random.default_rng(chunks)
+    base = np.unique(rng.integers(0, 2**63, 60, dtype=np.uint64))
+    sets = []
+    for _ in range(60):
+        kept = base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.3])]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**63, rng.integers(0, 6), dtype=np.uint64)])))
+    chunk = rng.integers(0, chunks, len(sets))
+    labels = rng.permutation(len(sets)) // 2  # some are connected before
+    met = rng.integers(0, 6, (len(sets), 2))  # 0: in no group
+    links = ngram_join.forest(labels, chunk, met, [s.astype(">u8").tobytes() for s in sets])
+
+    def classes(pairs):
+        root = {int(label): int(label) for label in labels}
+        for a, b in pairs:
+            old, new = root[int(a)], root[int(b)]
+            root = {k: new if v == old else v for k, v in root.items()}
+        return {frozenset(k for k in root if root[k] == r) for r in set(root.values())}
+
+    wanted = [
+        (labels[i], labels[j])
+        for i in range(len(sets))
+        for j in range(i)
+        if (chunks == 1 or chunk[i] != chunk[j])
+        and not ((met[i] == met[j]) & (met[i] != 0)).any()
+        and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    ]
+    assert classes(links) == classes(wanted) and len(classes(links)) > 1
+    assert len(links) == len(set(labels.tolist())) - len(classes(links))  # no link too many
+
+
+def test_rows_of_a_hot_group_grow_with_the_group(spark, monkeypatch):
+    """Texts of one passage, each with a word of its own in it: few are alike, all share most signatures."""
+    monkeypatch.setattr(ngram_join, "CHUNK", 32)
+    made = {}
+    kept = ngram_join.open_pairs
+
+    def counted(rest):
+        pairs = kept(rest)
+        made["pairs"] = pairs.count()
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "open_pairs", counted)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(85)]
+    rows = [(i, " ".join(varied(rng, passage, 1 if i % 5 else 3))) for i in range(240)]
+    assert found(spark, rows) == brute(rows)
+    assert made.get("pairs", 0) < len(rows) * 8  # half the square is 28,680
