@@ -15,9 +15,10 @@ from moorage.operators.patch import (
     patch_sample,
     patch_stats,
 )
-from moorage.plans.patch_load import dry_run, patch_table
+from moorage.plans.document_load import load_documents
+from moorage.plans.patch_load import dry_run, patch_documents as patch_collection, patch_table
 from moorage.sources.tables import count_rows, source_rows
-from moorage.spec import PatchLoad, parse_field_mapping
+from moorage.spec import DocumentLoad, PatchLoad, parse_field_mapping
 
 VIEW_FILTER = "o_totalprice > 100000 AND o_orderstatus = 'F'"
 
@@ -172,6 +173,26 @@ def patch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patched.select(canonical_json(shown).alias("document"))
 
 
+def patch_document_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items landed as documents, patched by order: of the documents of an order, one is touched."""
+    name, location = scratch_table(spark)
+    lines = table(spark, sf_dir, "lineitem").select(F.struct(F.col("l_orderkey").alias("key")).alias("order"))
+    load_documents(spark, DocumentLoad("lines", name), lines, location)
+    view = f"{name}_view"
+    table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    mapping = {"o_orderpriority": "order.priority"}
+    run = patch_collection(spark, PatchLoad(view, "lines", "o_orderkey", "order.key", mapping, VIEW_FILTER), name, "bigint")
+    doc = F.col("row_data")
+    priority = F.try_variant_get(doc, "$.order.priority", "string")
+    stamped = F.try_variant_get(doc, "$.recon_ops_version", "boolean")
+    per_order = spark.table(name).groupBy(F.try_variant_get(doc, "$.order.key", "bigint").alias("order_key"))
+    return per_order.agg(
+        F.count("*").alias("documents"),
+        F.count_if(stamped).alias("patched"),
+        F.max(priority).alias("priority"),
+    ).withColumns({c: F.lit(run.counters[c]) for c in ("records", "matched", "changed", "not_found")})
+
+
 def _keyed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The totals under text keys, some missing, blank, unknown or repeated."""
     view = line_totals(spark, sf_dir)
@@ -222,6 +243,7 @@ QUERIES = {
     "patch_repeated_keys": patch_repeated_keys,
     "patch_first_match": patch_first_match,
     "patch_documents": patch_documents,
+    "patch_document_table": patch_document_table,
     "patch_stats": patch_stats_query,
     "dry_run_patch": dry_run_patch,
     "patch_sample": patch_sample_query,
@@ -275,6 +297,14 @@ SQL = {
                || ',"state":{{' || CASE WHEN qty IS NOT NULL THEN '"qty":' || qty || ',' ELSE '' END
                || '"status":"' || coalesce(status, o_orderstatus) || '"}}}}' AS document
         FROM orders LEFT JOIN ({OPS}) ON k = o_orderkey""",
+    "patch_document_table": f"""
+        WITH lines AS (SELECT l_orderkey AS order_key, count(*) AS documents FROM lineitem GROUP BY l_orderkey),
+             ops AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE {VIEW_FILTER}),
+             met AS (SELECT count(*) AS n FROM ops JOIN lines ON o_orderkey = order_key),
+             asked AS (SELECT count(*) AS n FROM ops)
+        SELECT order_key, documents, CAST(o_orderkey IS NOT NULL AS BIGINT) AS patched, o_orderpriority AS priority,
+               asked.n AS records, met.n AS matched, met.n AS changed, asked.n - met.n AS not_found
+        FROM lines LEFT JOIN ops ON o_orderkey = order_key, met, asked""",
     "patch_stats": f"""
         WITH keyed AS ({KEYED}),
              usable AS (SELECT * FROM keyed WHERE trim(key) <> '' AND (qty IS NOT NULL OR status IS NOT NULL)),

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from moorage.functions.documents import as_variant, field, set_fields
+from moorage.functions.documents import as_variant, canonical_json, document_hash, field, set_fields
 from moorage.functions.values import FEES_FIELD, fee_list, not_blank, utc_timestamp
 from moorage.operators.joins import left_join_spread, one_row
 from moorage.operators.merge import latest_by_key
@@ -183,6 +183,35 @@ def with_audit(ops: DataFrame, key: str, updated_at: Column | None = None) -> Da
     )
 
 
+def document_key(doc: Column, key: str, key_type: str) -> Column:
+    """The value at a dotted path if it is of the kind of the key, else NULL: text and numbers never match."""
+    raw = field(doc, *key.split("."))
+    is_text = F.schema_of_variant(raw) == "STRING"
+    return F.when(is_text if key_type == "string" else ~is_text, F.try_variant_get(raw, "$", key_type))
+
+
+def document_hits(
+    target: DataFrame, patches: DataFrame, key: str, key_type: str = "string", updated_at: Column | None = None
+) -> DataFrame:
+    """Rows of a landing table that a patch touches: row_id, match_key, the new row_data and document_hash, ``changed``.
+
+    Of several documents with one key, that with the smallest row id is touched. ``changed`` tells whether a mapped
+    field got another value; the audit fields always do. Documents no patch is for are dropped by the join, so what
+    is shuffled and stored grows with the patches.
+    """
+    check_key_types(KEY_TYPES[key_type], patches.schema["match_key"].dataType)
+    now = F.current_timestamp() if updated_at is None else updated_at
+    keyed = target.select("row_id", "row_data", document_key(F.col("row_data"), key, key_type).alias("target_key"))
+    met = keyed.where(F.col("target_key").isNotNull()).join(operations(patches), F.col("target_key") == F.col("match_key"))
+    first = latest_by_key(met, ["match_key"], [F.col("row_id").asc()])
+    fields = {f.name: as_stored(F.col("patch")[f.name], f.dataType) for f in patches.schema["patch"].dataType.fields}
+    audit = {UPDATED_AT: as_variant(now), VERSION: as_variant(F.lit(True))}
+    laid = first.withColumn("mapped", set_fields(F.col("row_data"), fields))
+    changed = canonical_json(F.col("mapped")) != canonical_json(F.col("row_data"))
+    patched = laid.select("row_id", "match_key", set_fields(F.col("mapped"), audit).alias("row_data"), changed.alias("changed"))
+    return patched.withColumn("document_hash", document_hash(F.col("row_data")))
+
+
 def apply_patches_to_documents(
     target: DataFrame,
     patches: DataFrame,
@@ -195,11 +224,7 @@ def apply_patches_to_documents(
     """The same for documents in a VARIANT column; ``key`` and mapped targets are dotted paths."""
     check_key_types(KEY_TYPES[key_type], patches.schema["match_key"].dataType)
     now = F.current_timestamp() if updated_at is None else updated_at
-    raw_key = field(F.col(doc), *key.split("."))
-    is_text = F.schema_of_variant(raw_key) == "STRING"
-    of_kind = is_text if key_type == "string" else ~is_text
-    stored_key = F.when(of_kind, F.try_variant_get(raw_key, "$", key_type))
-    joined = _matched(target, operations(patches), stored_key, first_by)
+    joined = _matched(target, operations(patches), document_key(F.col(doc), key, key_type), first_by)
     hit = F.col("match_key").isNotNull()
     values = {
         f.name: as_stored(F.col("patch")[f.name], f.dataType) for f in patches.schema["patch"].dataType.fields
@@ -234,13 +259,18 @@ def patch_stats(target: DataFrame, patches: DataFrame, key: str, first_by: str |
         differs.append(F.col("patch")[f.name].isNotNull() & ~value.eqNullSafe(old))
     hits = stored.alias("stored").join(ops, F.col(f"stored.`{key}`") == F.col("match_key"))
     hits = hits.groupBy("match_key").agg(F.bool_or(reduce(lambda a, b: a | b, differs)).alias("changed"))
+    return run_counters(patches, hits)
+
+
+def run_counters(patches: DataFrame, hits: DataFrame) -> DataFrame:
+    """The counters of a run from its patches and, per operation that found a row, whether it ``changed`` one."""
     outcome = hits.agg(F.count("*").alias("matched"), F.count_if("changed").alias("changed"))
     states = patches.agg(
         F.count("*").alias("records"),
         *[F.count_if(F.col("state") == s).alias(s) for s in (NO_KEY, BLANK_KEY, NO_FIELDS)],
         F.count_if(F.col("state") == OP).alias("all_ops"),
     )
-    return one_row(states, outcome, ops.agg(F.count("*").alias("ops"))).select(
+    return one_row(states, outcome, operations(patches).agg(F.count("*").alias("ops"))).select(
         "records",
         "matched",
         "changed",

@@ -13,9 +13,11 @@ from moorage.operators.patch import (
     patch_stats,
     repeated_keys,
 )
-from moorage.plans.patch_load import dry_run, patch_table, run_patch, send_patches
+from moorage.plans.document_load import load_documents
+from moorage.plans.patch_load import dry_run, patch_documents, patch_table, run_patch, send_patches
 from moorage.sources.tables import count_rows, source_rows
-from moorage.spec import PatchLoad, parse_field_mapping, preset, with_options
+from moorage.session import new_location
+from moorage.spec import DocumentLoad, PatchLoad, parse_field_mapping, preset, with_options
 from tests.conftest import plan_of, rows_of
 
 
@@ -218,3 +220,31 @@ def test_source_scan_reads_only_what_it_needs(spark, tmp_path):
 
 def test_field_mapping_text():
     assert parse_field_mapping("VALUE_DATE:valueDate, amount , x : y:z") == {"VALUE_DATE": "valueDate", "AMOUNT": "amount", "X": "y:z"}
+
+
+def test_patches_on_a_document_table(spark):
+    name = "patched_documents"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    raw = ['{"k":"k1","a":{"Amount":1.0}}', '{"k":"k2","a":{"Amount":2}}', '{"k":7}', '{"k":null}', "{}", '{"k":"k1","a":9}']
+    location = new_location(spark, name)
+    load_documents(spark, DocumentLoad("one", name, cluster=False), spark.createDataFrame([(r,) for r in raw], "raw string").coalesce(1), location)
+    load_documents(spark, DocumentLoad("two", name), spark.createDataFrame([(raw[0],)], "raw string"), location)
+    before = {r.row_id: r for r in spark.table(name).withColumn("row_data", F.to_json("row_data")).collect()}
+    view(spark).createOrReplaceTempView("patch_view")
+    load = PatchLoad("patch_view", "one", "TRANSACTION_ID", "k", {"AMOUNT": "a.Amount"}, order_by="SEQ")
+    assert patch_documents(spark, with_options(load, {"dry_run": True}), name).stats.first().records == 8
+    run = patch_documents(spark, load, name)
+    counted = {k: run.counters[k] for k in ("records", "matched", "changed", "not_found", "duplicates", "no_source_fields")}
+    assert counted == {"records": 8, "matched": 1, "changed": 1, "not_found": 1, "duplicates": 1, "no_source_fields": 3}
+    after = {r.row_id: r for r in spark.table(name).withColumn("row_data", F.to_json("row_data")).collect()}
+    assert after.keys() == before.keys()
+    [touched] = [i for i in after if after[i] != before[i]]
+    doc = json.loads(after[touched].row_data)
+    assert touched == min(i for i in before if before[i].collection_name == "one" and '"k1"' in before[i].row_data)
+    assert doc["a"]["Amount"] == 2 and doc["recon_ops_version"] is True and "recon_ops_updated_at" in doc
+    assert after[touched].document_hash != before[touched].document_hash
+    assert after[touched].load_timestamp == before[touched].load_timestamp
+    again = patch_documents(spark, load, name).counters
+    assert (again["matched"], again["changed"]) == (1, 0)
+    none = patch_documents(spark, with_options(load, {"where": "SEQ > 5"}), name).counters
+    assert (none["records"], none["matched"]) == (0, 0)
