@@ -11,8 +11,11 @@ Texts with one set are one class, found by a digest, and joined as one. Classes
   the group, are joined if what they share allows it. Groups whose classes are in one component by then are done.
 * Blocks. Signatures that lie in the same classes are put together, with their number as a weight. In a few rounds each
   class goes to the largest of its open groups that it has not been in yet. A group is dealt to chunks of bounded number
-  and size, and each two chunks meet in one task, which joins sets of different components only and gives a spanning
-  forest of what it links: a group of any size costs as many rows as it has classes, times its chunks, and no pairs.
+  and size, and each two chunks meet in one task: a group of any size costs as many rows as it has classes, times its
+  chunks, and no pairs. This is done twice. First with parities: a bit for each slot of hashes, whether an odd number of
+  the set's n-grams fall there. Two sets differ in as many n-grams as their parities differ in bits, at least, so a class
+  whose parity is too far from all it meets has no link there. Of the others the sets are dealt, in chunks anew; those of
+  different components are joined and give a spanning forest of what they link.
 * Rest. Pairs of different components that share open groups but met in no block: what two sets share among their first,
   and how much follows after it, bounds what they share at all, and the few that can still be similar enough are joined.
 * Prefix tree. The sets to be joined with a hub or in a block are stored as a prefix tree in global (hash) order.
@@ -30,7 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,8 @@ from moorage.session import materialise
 
 SLOT_BITS = 20  # of the sketch
 SKETCH_BLOCKS = 16
+PARITY_CHUNK = 1024  # parities that meet others at once
+PARITY_CHUNK_BITS = 1 << 22  # and their bits, on average, at least half
 CHUNK = 256  # sets of a prefix tree
 CHUNK_GRAMS = 1 << 20  # and their n-grams, on average
 ROUNDS = 3  # groups of a class that are compared in blocks
@@ -81,27 +86,37 @@ def node_of(digest: bytes | None) -> int | None:
     return int.from_bytes(digest[:8], "little", signed=True) if digest else None
 
 
+def parity_of(grams: np.ndarray) -> bytes | None:
+    """For each slot whether the set has an odd number of n-grams there; slots: the power of two from the size on."""
+    if not len(grams):
+        return None
+    bits = max(64, 1 << (len(grams) - 1).bit_length())
+    counts = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def read_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n and digest of each row, and the counts of each task by block of the sketch: one table, stored."""
+    """doc_id, n, digest and parity of each row, and the counts of each task by block of the sketch: one table, stored."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
-        names = ["doc_id", "n", "digest", "node", "block", "counts"]
+        names = ["doc_id", "n", "digest", "node", "parity", "block", "counts"]
         for batch in small_batches(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             counts += np.bincount(slots(np.concatenate(sets)), minlength=len(counts)).astype(np.uint32)
             digests = [digest_of(s) for s in sets]
             nodes = [node_of(d) for d in digests]
-            none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
+            parities = pa.array(map(parity_of, sets), pa.binary())
+            none = parities, pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
             columns = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(nodes, pa.int64()), *none], names=names)
         if counts.any():
             blocks = [zlib.compress(part.tobytes(), 1) for part in np.split(counts, SKETCH_BLOCKS)]
-            none = [pa.nulls(len(blocks), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.int64())]
+            none = [pa.nulls(len(blocks), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())]
             numbers = pa.array(range(len(blocks)), pa.int32())
             yield pa.RecordBatch.from_arrays([*none, numbers, pa.array(blocks, pa.binary())], names=names)
 
-    schema = "doc_id bigint, n bigint, digest binary, node bigint, block int, counts binary"
+    schema = "doc_id bigint, n bigint, digest binary, node bigint, parity binary, block int, counts binary"
     return materialise(docs.select("doc_id", "text").mapInArrow(read, schema), "sets")
 
 
@@ -299,11 +314,12 @@ def linked_classes(rows: DataFrame, stored: DataFrame, full: DataFrame, classes:
     texts = join_stored(held, twins, ["doc_id"], "left_anti", 16).select("text")
     members = shared_signatures(signatures(texts, sketch(stored)))
 
+    def wanted(nodes: DataFrame) -> DataFrame:
+        return materialise(classes.join(nodes, "node", "left_semi").select(F.col("first").alias("doc_id")), "wanted")
+
     def sets_of(nodes: DataFrame) -> DataFrame:
         """node and set of these classes, read from their texts."""
-        wanted = classes.join(nodes, "node", "left_semi").select(F.col("first").alias("doc_id"))
-        chosen = join_stored(held, materialise(wanted, "wanted"), ["doc_id"], "left_semi", 16)
-        return set_bytes(chosen.select("text"))
+        return set_bytes(join_stored(held, wanted(nodes), ["doc_id"], "left_semi", 16).select("text"))
 
     def checked(pairs: DataFrame) -> DataFrame:
         """The links among pairs (a, b), which are stored."""
@@ -316,15 +332,16 @@ def linked_classes(rows: DataFrame, stored: DataFrame, full: DataFrame, classes:
     rest = open_groups(known.withColumn("met", F.array().cast("array<bigint>")))
     if rest.isEmpty():
         return labels
-    sets = materialise(sets_of(rest.select("node").distinct()), "open-sets")
+    firsts = join_stored(full, wanted(rest.select("node").distinct()), ["doc_id"], "left_semi", 16)
+    parities = materialise(firsts.select("node", "parity"), "parities")
     for _ in range(ROUNDS):
-        blocks, more = block_links(rest, sets)
+        blocks, more = block_links(rest, parities, sets_of)
         links = links.unionByName(more)
         rest = open_groups(relabelled(rest.drop("met").join(blocks, "node"), components(more)))
         if rest.isEmpty():
             break
     else:
-        links = links.unionByName(joined(materialise(open_pairs(rest), "pairs"), sets))
+        links = links.unionByName(checked(materialise(open_pairs(rest), "pairs")))
     return components(materialise(links, "links"))
 
 
@@ -385,35 +402,76 @@ def forest(labels: np.ndarray, chunks: np.ndarray, met: np.ndarray, grams: list[
     return links
 
 
-def block_links(rest: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def near(labels: np.ndarray, chunks: np.ndarray, met: np.ndarray, sizes: np.ndarray, parities: list[bytes]) -> np.ndarray:
+    """Whether each set of a block may be linked with one of another component that it meets there, by their parities."""
+    found = np.zeros(len(sizes), bool)
+    lengths = np.array([len(p) for p in parities])
+    across = chunks.min() < chunks.max()
+    for length in np.unique(lengths):
+        # Sets of fitting sizes have parities of one length, or one of twice the other's, whose halves are laid over each other.
+        rows = np.flatnonzero((lengths == length) | (lengths == 2 * length))
+        folded = np.array([np.bitwise_xor.reduce(np.frombuffer(parities[i], "<u8").reshape(-1, length // 8), axis=0) for i in rows])
+        shorter, own, size, chunk, before = lengths[rows] == length, labels[rows], sizes[rows], chunks[rows], met[rows]
+        for at in np.flatnonzero(chunk == chunks.min()):
+            others = np.flatnonzero(chunk == chunks.max()) if across else np.arange(at + 1, len(rows))
+            fit = np.minimum(size[others], size[at]) * OF >= np.maximum(size[others], size[at]) * LEAST
+            others = others[fit & (own[others] != own[at]) & (shorter[others] | shorter[at])]
+            others = others[~((before[others] == before[at]) & (before[at] != 0)).any(axis=1)]
+            both = size[others] + size[at]
+            differ = np.bitwise_count(folded[others] ^ folded[at]).sum(axis=1, dtype=np.int64)
+            close = others[differ <= both - 2 * -(-LEAST * both // (OF + LEAST))]
+            found[rows[close]] = True
+            found[rows[at]] |= len(close) > 0
+    return found
+
+
+def dealt(chosen: DataFrame, data: DataFrame, most: int, most_grams: int) -> DataFrame:
+    """The classes of each block in chunks of so many classes and n-grams, on average, each two of which meet; with ``data``."""
+    parts = F.greatest(F.ceil(F.count("*") / F.lit(most)), F.ceil(F.sum("n") / F.lit(most_grams)))
+    counts = chosen.where("block <> 0").groupBy("block").agg(F.count("*").alias("members"), parts.alias("parts"))
+    placed = chosen.join(counts.where("members > 1").drop("members"), "block")
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), "parts"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
+    chunks = F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+    rows = placed.select("block", "chunk", "node", "n", "label", "met", other)
+    rows = rows.select("block", "chunk", "node", "n", "label", "met", *chunks)
+    return rows.join(data, "node").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high")
+
+
+def meetings(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table, np.ndarray, np.ndarray]]:
+    """Block, rows, chunks and ``met`` of each two chunks that meet."""
+    for (block, low, high), table in groups(batches, ["block", "low", "high"]):
+        chunks = table.column("chunk").to_numpy()
+        if low == high or chunks.min() < chunks.max():  # else the other chunk is empty
+            yield block, table, chunks, np.array(table.column("met").to_pylist(), np.int64).reshape(len(chunks), -1)
+
+
+def block_links(rest: DataFrame, parities: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """One round of blocks: the classes with their new ``met``, and the links (a, b) of labels it found; both stored."""
     sizes = rest.groupBy("key").agg(F.count("*").alias("size"))
     left = F.when(~F.array_contains("met", F.col("key")), F.struct("size", "key"))
     best = rest.join(sizes, "key").groupBy("node", "n", "label", "met").agg(F.max(left)["key"].alias("block"))
     chosen = materialise(best.withColumn("block", F.coalesce("block", F.lit(0).cast("bigint"))), "blocks")
 
-    parts = F.greatest(F.ceil(F.count("*") / F.lit(CHUNK)), F.ceil(F.sum("n") / F.lit(CHUNK_GRAMS)))
-    counts = chosen.where("block <> 0").groupBy("block").agg(F.count("*").alias("members"), parts.alias("parts"))
-    placed = chosen.join(counts.where("members > 1").drop("members"), "block")
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), "parts"))
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("other")
-    dealt = placed.select("block", "chunk", "node", "label", "met", other).select(
-        "block", "chunk", "node", "label", "met", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
-    )
-    dealt = dealt.join(sets, "node").repartition("block", "low", "high").sortWithinPartitions("block", "low", "high")
+    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, table, chunks, met in meetings(batches):
+            columns = [table.column(c).to_numpy() for c in ("label", "n", "node")]
+            nodes = columns[2][near(columns[0], chunks, met, columns[1].astype(np.int64), table.column("parity").to_pylist())]
+            if len(nodes):
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(nodes), pa.int64()), pa.array(nodes)], names=["block", "node"])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, low, high), table in groups(batches, ["block", "low", "high"]):
-            chunks = table.column("chunk").to_numpy()
-            if low < high and chunks.min() == chunks.max():
-                continue  # the other chunk is empty
-            met = np.array(table.column("met").to_pylist(), np.int64).reshape(len(chunks), -1)
+        for _, table, chunks, met in meetings(batches):
             pairs = forest(table.column("label").to_numpy(), chunks, met, table.column("grams").to_pylist())
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    columns = dealt.select("block", "low", "high", "chunk", "label", "met", "grams")
-    links = materialise(columns.mapInArrow(compare, "a bigint, b bigint"), "links")
+    columns = ["block", "low", "high", "chunk", "label", "met"]
+    bits = dealt(chosen, parities, PARITY_CHUNK, PARITY_CHUNK_BITS).select(*columns, "n", "node", "parity")
+    close = materialise(bits.mapInArrow(sift, "block bigint, node bigint").distinct(), "close")
+    sets = sets_of(close.select("node"))
+    whole = dealt(chosen.join(close, ["block", "node"]), sets, CHUNK, CHUNK_GRAMS).select(*columns, "grams")
+    links = materialise(whole.mapInArrow(compare, "a bigint, b bigint"), "links")
     return chosen.select("node", F.concat("met", F.array("block")).alias("met")), links
 
 

@@ -180,3 +180,48 @@ def test_rows_of_a_hot_group_grow_with_the_group(spark, monkeypatch):
     rows = [(i, " ".join(varied(rng, passage, 1 if i % 5 else 3))) for i in range(240)]
     assert found(spark, rows) == brute(rows)
     assert made.get("pairs", 0) < len(rows) * 8  # half the square is 28,680
+
+
+def test_parities_leave_out_no_link():
+    rng = np.random.default_rng(8)
+    sets, links = [], 0
+    for size in (1, 3, 60, 63, 64, 65, 70, 127, 128, 129, 300, 700):
+        first = rng.integers(0, 1 << 63, size, np.uint64)
+        sets.append(np.unique(first))
+        for kept in (0.8, 0.85, 0.9, 1.0):
+            for more in (0, size // 9, size // 5, size // 4):
+                sets.append(np.unique(np.concatenate([first[: int(np.ceil(kept * size))], rng.integers(0, 1 << 63, more, np.uint64)])))
+    sizes, parities = np.array([len(s) for s in sets]), [ngram_join.parity_of(s) for s in sets]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            linked = len(np.intersect1d(a, b)) >= needed(len(a), len(b))
+            links += linked
+            for chunks in ([0, 0], [0, 1]):
+                args = np.array([1, 2]), np.array(chunks), np.zeros((2, 0), np.int64), sizes[[i, j]], [parities[i], parities[j]]
+                if linked:
+                    assert ngram_join.near(*args).all()
+                if np.intersect1d(a, b).size < 0.5 * min(len(a), len(b)) and len(a) > 50:
+                    assert not ngram_join.near(*args).any()
+    assert links > 200
+
+
+def test_only_sets_that_may_be_linked_are_dealt(spark, monkeypatch):
+    """Texts that share a passage but little else: their sets, 64 bits an n-gram, needn't meet."""
+    rng = random.Random(9)
+    monkeypatch.setattr(ngram_join, "HOT", 1 << 30)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(60))) for i in range(40)]
+    body = [f"x{i}" for i in range(100)]
+    # A chain: each links to the next, but not to the first, with which the others are compared before.
+    rows += [(100 + i, " ".join(body[4 * i :] + [f"y{j}" for j in range(4 * i)])) for i in range(6)]
+    seen = []
+    original = ngram_join.dealt
+
+    def spy(chosen, data, most, most_grams):
+        if "grams" in data.columns:
+            seen.append(chosen.count())
+        return original(chosen, data, most, most_grams)
+
+    monkeypatch.setattr(ngram_join, "dealt", spy)
+    assert found(spark, rows) == brute(rows)
+    assert seen and max(seen) <= 6
