@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+_held: dict[tuple, object] = {}  # of a worker
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -61,6 +64,22 @@ class Memo(dict):
         self.update(zip(new, make(new), strict=True))
 
 
+def held_model(make: Callable[[str], object], file: str) -> object:
+    """The model that this worker holds with its caches, from task to task; one at a time."""
+    if (make, file) not in _held:
+        forget_models()
+        _held[make, file] = make(file)
+    return _held[make, file]
+
+
+def forget_models() -> None:
+    """For tasks without a model. Workers go from stage to stage, and what an earlier one held counts as the executor's memory."""
+    if _held:
+        _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut to about ``limit`` bytes of text each; a single longer text stays whole."""
     import pyarrow.compute as pc

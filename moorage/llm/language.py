@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moorage.llm.common import small_batches
+from moorage.llm.common import forget_models, small_batches
 
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3)
@@ -68,6 +68,7 @@ def buckets_of(text: str) -> Iterator[np.ndarray]:
 
 def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts by language and bucket of all texts of a task."""
+    forget_models()
     counts: dict[str, np.ndarray] = {}
     waiting: dict[str, list[np.ndarray]] = {}
     size = 0
@@ -151,6 +152,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
     kept = "".join(f"kept_{i} {rows.schema[f'kept_{i}'].dataType.simpleString()}, " for i in range(len(keep)))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_models()
         langs, matrix = sent.value
         for batch in small_batches(batches, "text"):
             found, scores = predicted(batch.column("text").to_pylist(), langs, matrix)

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from moorage.llm.common import join_stored, small_batches
+from moorage.llm.common import forget_models, join_stored, small_batches
 from moorage.llm.components import components
 from moorage.llm.shingles import shingle_sets
 from moorage.session import materialise
@@ -99,6 +99,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
     """doc_id, n, digest and parity of each row, and the counts of each task by block of the sketch: one table, stored."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_models()
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
         names = ["doc_id", "n", "digest", "node", "parity", "block", "counts"]
         for batch in small_batches(batches, "text"):
@@ -143,6 +144,7 @@ def signatures(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     sent = texts.sparkSession.sparkContext.broadcast((counts, HOT * float(counts.mean()) + HOT))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_models()
         held, hot = sent.value
         for batch in small_batches(batches, "text"):
             sets = [s for s in shingle_sets(batch.column("text")) if len(s)]
@@ -194,6 +196,7 @@ def set_bytes(texts: DataFrame) -> DataFrame:
     """node and the sorted set of each text, as bytes whose order is that of the sets."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_models()
         for batch in small_batches(batches, "text"):
             sets = shingle_sets(batch.column("text"))
             columns = [
@@ -246,6 +249,7 @@ def tree_join(hub: bytes, sets: list[bytes]) -> list[int]:
 
 def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
     """Runs of equal keys; they may go on from batch to batch."""
+    forget_models()
     held: list[pa.RecordBatch] = []
     current: tuple | None = None
     for batch in batches:

@@ -18,14 +18,13 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from moorage.llm.common import Memo, small_batches
+from moorage.llm.common import Memo, held_model, small_batches
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
@@ -198,14 +197,9 @@ class PieceCodec:
         return text.removeprefix(b" ").decode(errors="replace")
 
 
-@lru_cache(maxsize=2)
-def codec(model_file: str) -> PieceCodec:
-    return PieceCodec(model_file)
-
-
 def encoded(batches: Iterable[pa.RecordBatch], model_file: str) -> Iterator[pa.RecordBatch]:
     """Adds ids and decoded to batches, in place of column ``text``."""
-    model = codec(model_file)
+    model = held_model(PieceCodec, model_file)
     for batch in small_batches(batches, "text"):
         rows = model.encode_batch([t or "" for t in batch.column("text").to_pylist()])
         offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in rows])]).astype("i4")

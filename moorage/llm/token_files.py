@@ -21,13 +21,12 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from moorage.llm.common import Memo, small_batches
+from moorage.llm.common import Memo, held_model, small_batches
 from moorage.session import new_location
 
 BLOCK = 256
@@ -237,11 +236,6 @@ def text_of(key: str) -> str:
     return key[1:] if key[:1] == " " else " " + key
 
 
-@lru_cache(maxsize=2)
-def encoder(file: str) -> ChunkEncoder:
-    return ChunkEncoder(file)
-
-
 def key_ranges(docs: DataFrame, key: str, text: str) -> list[int]:
     """Document ids at which a new range begins, so that a range holds about ``SEGMENT_BYTES`` of text on average."""
     keys = docs.select(F.col(key).cast("bigint").alias("key"), F.octet_length(text).alias("size"))
@@ -260,7 +254,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
     starts = np.array(cuts, np.int64)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, end = encoder(tokenizer_file), np.uint32(end_id).tobytes()
+        model, end = held_model(ChunkEncoder, tokenizer_file), np.uint32(end_id).tobytes()
         for batch in small_batches(batches, "text"):
             ids = [i + end for i in model.encode([t or "" for t in batch.column("text").to_pylist()])]
             keys = batch.column("key")
