@@ -6,7 +6,8 @@ apart when their characters are merged anew; as merges are ranked, pieces that b
 the whole. Places from which no piece leads on are noted in a bitfield and not tried again.
 
 Merges never cross into a white space mark from the left, as no piece holds one after another character. So words are
-encoded by themselves, and those met before come from a bounded cache. Only where several marks follow each other are
+encoded by themselves, and those met before come from a bounded cache. Nor do they cross between any two characters that
+no piece holds side by side, such as a letter and the comma after it, so a new word is cut there. Only where several marks follow each other are
 the characters merged outright: the pieces for runs of marks all have the same rank, which the pair check can't tell.
 
 Null texts are taken as empty: no ids, empty decoded text. Characters that are no piece become the ids of their UTF-8
@@ -28,10 +29,12 @@ from moorage.llm.common import Memo, held_model, small_batches
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
+KINDS = re.compile(r"\w+|\W+")  # where words may be cut
 # Bounds of the caches of a worker: some 200 bytes an entry, so below 100 MB each.
 CACHED_WORDS = 450_000
 CACHED_CHARS = 64  # longer words aren't cached
 CACHED_PAIRS = 400_000
+CACHED_SIGNS = 20_000  # stretches without letters inside words
 
 # Kinds of pieces in a model file.
 NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
@@ -54,16 +57,18 @@ class PieceCodec:
             self.surface[i] = bytes([byte])
         self.surfaces = pa.array(self.surface, pa.large_binary())
         self.words: Memo = Memo(CACHED_WORDS, CACHED_CHARS)
-        self.pairs: dict[str, bool] = {}
+        self.splits: dict[str, int] = {}
+        self.signs: dict[str, bytes] = {}
+        self.beside = {piece[i : i + 2] for piece in self.scores for i in range(len(piece) - 1)}
         self.automaton = self._automaton()
 
     def _automaton(self):
-        """Of pieces that their own characters merge to; others never come out."""
+        """Of pieces of several characters that these merge to; others never come out."""
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
         for piece in self.scores:
-            if len(piece) == 1 or self.merged(piece) == [piece]:
+            if len(piece) > 1 and self.merged(piece) == [piece]:
                 automaton.add_word(piece, len(piece))
         automaton.make_automaton()
         return automaton
@@ -95,45 +100,46 @@ class PieceCodec:
             offer(left, after[left])
         return [s for s in symbols if s]
 
-    def compatible(self, left: str, right: str) -> bool:
-        pair = f"{left}\n{right}"
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[pair] = self.merged(left + right) == [left, right]
+    def split_at(self, text: str) -> int:
+        """The length of the first of the two pieces that these characters merge to, 0 if they merge to more or fewer."""
+        if len(self.splits) >= CACHED_PAIRS:
+            self.splits.clear()
+        pieces = self.merged(text)
+        known = self.splits[text] = len(pieces[0]) if len(pieces) == 2 else 0
         return known
 
     def backtracked(self, text: str) -> list[str]:
         """The pieces of a text without runs of marks."""
-        size = len(text)
-        lengths: list[list[int]] = [[] for _ in range(size)]
+        size, splits = len(text), self.splits
+        lengths: list[list[int]] = [[1] for _ in text]
         for end, length in self.automaton.iter(text):
             lengths[end - length + 1].append(length)
-        for options in lengths:
-            if not options or options[0] != 1:
-                options.insert(0, 1)  # a character that is no piece
-        open_places = bytearray(b"\x01") * (size + 1)
-        found: list[str] = []
+        closed_places = bytearray(size + 1)
+        starts: list[int] = []
         chosen: list[int] = []
-        place, option = 0, len(lengths[0]) - 1 if size else 0
+        before, place, option = -1, 0, len(lengths[0]) - 1 if size else 0
         while place < size:
             options = lengths[place]
             while option >= 0:
                 end = place + options[option]
-                if open_places[end] and (not found or self.compatible(found[-1], text[place:end])):
-                    break
+                if not closed_places[end]:
+                    if before < 0:
+                        break
+                    pair = text[before:end]
+                    at = splits.get(pair)
+                    if (self.split_at(pair) if at is None else at) == place - before:
+                        break
                 option -= 1
             if option >= 0:
-                found.append(text[place:end])
+                starts.append(place)
                 chosen.append(option)
-                place = end
+                before, place = place, end
                 option = len(lengths[place]) - 1 if place < size else 0
             else:
-                open_places[place] = 0
-                place -= len(found.pop())
-                option = chosen.pop() - 1
-        return found
+                closed_places[place] = 1
+                place, option = starts.pop(), chosen.pop() - 1
+                before = starts[-1] if starts else -1
+        return [text[start:end] for start, end in zip(starts, [*starts[1:], size])]
 
     def _ids(self, pieces: list[str]) -> list[int]:
         ids = []
@@ -147,7 +153,46 @@ class PieceCodec:
 
     def _word(self, word: str) -> bytes:
         """Ids, 32 bits each. A word with marks in front stands for itself, else one is before it."""
-        pieces = self.merged(word) if word.startswith(MARK) else self.backtracked(MARK + word)
+        if word.startswith(MARK):
+            return self._packed(self.merged(word))
+        if not word.isalnum():
+            parts = self.parts(word)
+            if len(parts) > 1:
+                return self._first(parts[0]) + b"".join(map(self._inner, parts[1:]))
+        return self._first(word)
+
+    def parts(self, word: str) -> list[str]:
+        """The word cut between letters and signs that no piece holds side by side: merges never cross there."""
+        parts: list[str] = []
+        for part in KINDS.findall(word):
+            if parts and parts[-1][-1] + part[0] in self.beside:
+                parts[-1] += part
+            else:
+                parts.append(part)
+        return parts
+
+    def _first(self, word: str) -> bytes:
+        """Ids of what a word begins with, which is often a word known by itself, or will be."""
+        known = self.words.get(word) or self.words.old.get(word)
+        if known is None:
+            known = self._packed(self.backtracked(MARK + word))
+            if len(word) <= CACHED_CHARS:
+                self.words[word] = known
+        return known
+
+    def _inner(self, part: str) -> bytes:
+        if part[0].isalpha():
+            return self._packed(self.backtracked(part))
+        known = self.signs.get(part)
+        if known is None:
+            known = self._packed(self.backtracked(part))
+            if len(part) <= CACHED_CHARS:
+                if len(self.signs) >= CACHED_SIGNS:
+                    self.signs.clear()
+                self.signs[part] = known
+        return known
+
+    def _packed(self, pieces: list[str]) -> bytes:
         ids = self._ids(pieces)
         return pack(f"<{len(ids)}i", *ids)
 

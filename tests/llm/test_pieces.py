@@ -72,3 +72,19 @@ def test_nulls_repeats_and_extra_columns(spark):
     assert sorted(((r.doc_id, r.text, tuple(r.ids), r.decoded) for r in got), key=repr) == sorted(
         [(1, None, (), ""), (1, None, (), ""), (None, "a b", tuple(LIBRARY.encode("a b")), "a b"), (2, "", (), "")], key=repr
     )
+
+
+def test_words_are_cut_where_no_piece_leads_across(monkeypatch):
+    """Words with signs about them cost no search of their own."""
+    codec = PieceCodec(MODEL)
+    searched = []
+    original = codec.backtracked
+    monkeypatch.setattr(codec, "backtracked", lambda text: searched.append(text) or original(text))
+    text = "thonre thonre, thonre. thonre; thonre.\nthonre! thonre12 thonre&&& thonre"
+    assert codec.encode(text) == LIBRARY.encode(text)
+    assert searched.count("▁thonre") == 1
+    assert "".join(codec.parts("²..'s,é1")) == "²..'s,é1"
+    rng = random.Random(11)
+    for _ in range(20000):
+        text = "".join(rng.choices([*".,!?'-²½\n\t$&é日x1_", "the", "don", " ", "ed.", "².", "...", "//", "://"], k=rng.randint(1, 9)))
+        assert codec.encode(text) == LIBRARY.encode(text), text
