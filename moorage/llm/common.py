@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -77,7 +79,43 @@ def forget_models() -> None:
     if _held:
         _held.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+    give_back()
+
+
+def give_back() -> None:
+    """What this worker has freed goes back to the system; the allocators would keep it, for every worker that idles."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def lean(task: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task, after which the worker gives back what it has freed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        give_back()
+
+    return run
+
+
+def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Texts cut at each space: the different words, the number of each word of all texts in these, offsets of the texts."""
+    import pyarrow.compute as pc
+
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    offsets = lists.offsets.to_numpy()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), offsets - offsets[0]
+
+
+def joined(values: list[bytes], numbers: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """For each stretch between offsets, the values with these numbers joined."""
+    taken = pa.array(values, pa.large_binary()).take(pa.array(numbers))
+    places = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1, taken.offset * 8)[offsets].tolist()
+    data = memoryview(taken.buffers()[2] or b"")
+    return [bytes(data[start:end]) for start, end in zip(places[:-1], places[1:], strict=True)]
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moorage.llm.common import forget_models, small_batches
+from moorage.llm.common import forget_models, lean, small_batches
 
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3)
@@ -97,7 +97,7 @@ def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages in order, and log-probabilities by language and bucket."""
     labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = labelled.mapInArrow(counted, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = labelled.mapInArrow(lean(counted), "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = counts.toArrow()
     names = rows.column("lang").to_pylist()
     langs = sorted(set(names))
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "
             columns = [*rest.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*rest.schema.names, "lang_pred", "score"])
 
-    out = rows.mapInArrow(score, kept + "lang_pred string, score double")
+    out = rows.mapInArrow(lean(score), kept + "lang_pred string, score double")
     return out.withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})
 
 

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from moorage.llm.common import forget_models, join_stored, small_batches
+from moorage.llm.common import forget_models, join_stored, lean, small_batches
 from moorage.llm.components import components
 from moorage.llm.shingles import shingle_sets
 from moorage.session import materialise
@@ -118,7 +118,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*none, numbers, pa.array(blocks, pa.binary())], names=names)
 
     schema = "doc_id bigint, n bigint, digest binary, node bigint, parity binary, block int, counts binary"
-    return materialise(docs.select("doc_id", "text").mapInArrow(read, schema), "sets")
+    return materialise(docs.select("doc_id", "text").mapInArrow(lean(read), schema), "sets")
 
 
 def sketch(stored: DataFrame) -> np.ndarray:
@@ -159,7 +159,7 @@ def signatures(texts: DataFrame, counts: np.ndarray) -> DataFrame:
             nodes = np.repeat(np.array([node_of(digest_of(s)) for s in sets], np.int64), lengths)
             yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(nodes), pa.array(marks)], names=["sig", "node", "mark"])
 
-    return texts.mapInArrow(sign, "sig bigint, node bigint, mark bigint")
+    return texts.mapInArrow(lean(sign), "sig bigint, node bigint, mark bigint")
 
 
 def shared_signatures(signed: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def set_bytes(texts: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["node", "grams"])
 
-    return texts.mapInArrow(build, "node bigint, grams binary").where("node IS NOT NULL")
+    return texts.mapInArrow(lean(build), "node bigint, grams binary").where("node IS NOT NULL")
 
 
 def common_start(a: bytes, b: bytes) -> int:
@@ -284,7 +284,7 @@ def joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array([a] * len(linked), pa.int64()), pa.array(linked, pa.int64())], names=["a", "b"])
 
-    return materialise(dealt.mapInArrow(match, "a bigint, b bigint"), "links")
+    return materialise(dealt.mapInArrow(lean(match), "a bigint, b bigint"), "links")
 
 
 def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -472,10 +472,10 @@ def block_links(rest: DataFrame, parities: DataFrame, sets_of: Callable[[DataFra
 
     columns = ["block", "low", "high", "chunk", "label", "met"]
     bits = dealt(chosen, parities, PARITY_CHUNK, PARITY_CHUNK_BITS).select(*columns, "n", "node", "parity")
-    close = materialise(bits.mapInArrow(sift, "block bigint, node bigint").distinct(), "close")
+    close = materialise(bits.mapInArrow(lean(sift), "block bigint, node bigint").distinct(), "close")
     sets = sets_of(close.select("node"))
     whole = dealt(chosen.join(close, ["block", "node"]), sets, CHUNK, CHUNK_GRAMS).select(*columns, "grams")
-    links = materialise(whole.mapInArrow(compare, "a bigint, b bigint"), "links")
+    links = materialise(whole.mapInArrow(lean(compare), "a bigint, b bigint"), "links")
     return chosen.select("node", F.concat("met", F.array("block")).alias("met")), links
 
 

@@ -25,15 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from moorage.llm.common import Memo, held_model, small_batches
+from moorage.llm.common import Memo, held_model, joined, lean, small_batches, split_words
 
 MARK = "▁"
+RUNNING = f"{MARK}|^ |  | $|^$"  # of texts that hold runs of marks, or marks of their own
 RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 KINDS = re.compile(r"\w+|\W+")  # where words may be cut
-# Bounds of the caches of a worker: some 200 bytes an entry, so below 100 MB each.
-CACHED_WORDS = 450_000
+# Bounds of the caches of a worker: some 200 bytes an entry, so below 60 MB each.
+CACHED_WORDS = 300_000
 CACHED_CHARS = 64  # longer words aren't cached
-CACHED_PAIRS = 400_000
+CACHED_PAIRS = 250_000
 CACHED_SIGNS = 20_000  # stretches without letters inside words
 
 # Kinds of pieces in a model file.
@@ -206,18 +207,28 @@ class PieceCodec:
         runs = RUNS.findall(MARK + text.replace(" ", MARK)) if text else []
         return [run if run.startswith(MARK, 1) else run[1:] for run in runs]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids as 32-bit integers, for each text."""
-        split = [self.split(text) for text in texts]
-        self.words.fill(set().union(*split), lambda new: map(self._word, new))
-        results = []
-        for words in split:
-            known = list(map(self.words.get, words))
-            if None in known:
-                known = [k or self._word(w) for k, w in zip(known, words, strict=True)]
-            results.append(b"".join(known))
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
+        """Ids as 32-bit integers, for each text. Each different word is looked up once."""
+        import pyarrow.compute as pc
+
+        running = pc.match_substring_regex(texts, RUNNING).to_numpy(zero_copy_only=False)
+        results: list[bytes] = [b""] * len(texts)
+        plain = np.flatnonzero(~running)
+        if len(plain):
+            words, numbers, offsets = split_words(texts.take(pa.array(plain)))
+            for i, ids in zip(plain, joined(self._known(words), numbers, offsets), strict=True):
+                results[i] = ids
+        for i in np.flatnonzero(running):
+            results[i] = b"".join(self._known(self.split(texts[i].as_py())))
         return results
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        self.words.fill(set(words), lambda new: map(self._word, new))
+        known = list(map(self.words.get, words))
+        if None in known:
+            known = [self._word(w) if k is None else k for k, w in zip(known, words, strict=True)]
+        return known
+
     def decode_batch(self, ids: pa.Array, offsets: np.ndarray) -> pa.Array:
         """Texts of the ids between offsets. What pieces stand for lies one after another, so offsets are all it takes."""
         taken = self.surfaces.take(ids)
@@ -235,7 +246,7 @@ class PieceCodec:
         return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(body)))
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.encode_batch([text])[0], "<i4").tolist()
+        return np.frombuffer(self.encode_batch(pa.array([text]))[0], "<i4").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         text = self._bytes(ids)
@@ -246,7 +257,7 @@ def encoded(batches: Iterable[pa.RecordBatch], model_file: str) -> Iterator[pa.R
     """Adds ids and decoded to batches, in place of column ``text``."""
     model = held_model(PieceCodec, model_file)
     for batch in small_batches(batches, "text"):
-        rows = model.encode_batch([t or "" for t in batch.column("text").to_pylist()])
+        rows = model.encode_batch(batch.column("text").fill_null(""))
         offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in rows])]).astype("i4")
         flat = pa.array(np.frombuffer(b"".join(rows), "<i4"))
         ids, decoded = pa.ListArray.from_arrays(pa.array(offsets), flat), model.decode_batch(flat, offsets).cast(pa.string())
@@ -259,5 +270,5 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", keep:
     rows = docs.select(*[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = "".join(f"kept_{i} {kinds[f'kept_{i}']}, " for i in range(len(keep))) + "ids array<int>, decoded string"
-    out = rows.mapInArrow(lambda batches: encoded(batches, model_file), schema)
+    out = rows.mapInArrow(lean(lambda batches: encoded(batches, model_file)), schema)
     return out.withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})

@@ -1,6 +1,9 @@
 import random
+import re
+from pathlib import Path
 
 import public_tokenizers
+import pyarrow as pa
 
 from moorage.llm import common
 from moorage.llm.common import held_model
@@ -20,6 +23,37 @@ def test_one_model_at_a_time():
     assert not common._held
 
 
+def held_mb():
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()).group(1)) / 1024
+
+
+def test_freed_memory_goes_back_after_a_task():
+    """An allocator would keep what lies below the last piece that is held."""
+    before, last = [], []
+
+    def task(batches):
+        pieces = [bytes(2000) for _ in range(50_000)]
+        last.append(bytes(2000))
+        before.append(held_mb())
+        yield from batches
+        del pieces
+
+    assert list(common.lean(task)(iter([1]))) == [1]
+    assert held_mb() < before[0] - 80
+
+
+def test_texts_of_one_word_count_and_lookup():
+    """A word is looked up once in a batch, and the texts come out as if each had been encoded by itself."""
+    codec = PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["the cat the", "", " the", "cat  the", "the ", "the\u2581cat", "cat the cat"]
+    looked = []
+    known = codec._known
+    codec._known = lambda words: looked.append(words) or known(words)
+    rows = codec.encode_batch(pa.array(["", *texts, *texts]).slice(1))
+    assert sorted(looked[0]) == ["cat", "the"]
+    assert rows == [codec.encode_batch(pa.array([t]))[0] for t in texts + texts]
+
+
 def test_workers_hold_no_model_in_stages_without_one(spark):
     """What the codec of one stage caches is not in the workers' memory in the next."""
     rng = random.Random(3)
