@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from moorage.llm.common import Memo, held_model, small_batches
+from moorage.llm.common import Memo, forget_models, held_model, joined, lean, small_batches, split_words
 from moorage.session import new_location
 
 BLOCK = 256
@@ -34,14 +34,15 @@ PERCENTILE = 90
 SEGMENT_BYTES = 8 << 20  # of text, about
 MAX_RANGES = 20_000
 END_ID = 0
-CACHED_CHUNKS = 1_000_000  # bound of the cache of a worker
+CACHED_CHUNKS = 600_000  # bound of the cache of a worker
 CACHED_CHARS = 64
-CACHED_PARTS = 500_000
+CACHED_PARTS = 200_000
 # Within Latin letters the library's rule for cutting is this pattern, but for characters that Python classes otherwise.
 LATIN_END = "\u0250"
 UNLIKE = frozenset("\x1c\x1d\x1e\x1f\u00b2\u00b3\u00b9\u00bc\u00bd\u00be")
 CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
-WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+GLUED = f" [{WHITE}]|[{WHITE}] "  # in texts whose chunks aren't what lies between spaces
 
 # Layout of a segment. Head: magic, documents, blocks, ids, bytes of the whole segment.
 MAGIC = b"PFOR"
@@ -59,14 +60,22 @@ def pack(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def unpack(data: np.ndarray, width: int, count: int) -> np.ndarray:
-    """Rows of ``count`` values from rows of bytes."""
+    """Rows of ``count`` values from rows of bytes. Eight values fill ``width`` bytes, and each lies in five of them at most."""
     if not width:
         return np.zeros((len(data), count), np.uint32)
-    bits = np.unpackbits(data, axis=1, count=count * width, bitorder="little").reshape(len(data), count, width)
-    kind, room = ("<u2", 16) if width <= 16 else ("<u4", 32)
-    wide = np.zeros((len(data), count, room), np.uint8)
-    wide[..., :width] = bits
-    return np.packbits(wide, axis=-1, bitorder="little").view(kind)[..., 0]
+    groups = (count + 7) // 8
+    padded = np.zeros((len(data), groups * width + 5), np.uint8)
+    padded[:, : data.shape[1]] = data
+    values = np.empty((len(data), groups, 8), np.uint32)
+    for i in range(8):
+        first, shift = divmod(i * width, 8)
+        kind = np.uint32 if shift + width <= 32 else np.uint64
+        value = np.zeros((len(data), groups), kind)
+        for byte in range((shift + width + 7) // 8):
+            at = first + byte
+            value |= padded[:, at : at + groups * width : width][:, :groups].astype(kind) << kind(8 * byte)
+        values[..., i] = (value >> kind(shift)) & kind((1 << width) - 1)
+    return values.reshape(len(data), -1)[:, :count]
 
 
 def encode_rows(rows: np.ndarray) -> list[bytes]:
@@ -163,6 +172,7 @@ class ChunkEncoder:
             raise ValueError("the tokenizer must be of the byte-level kind, without normaliser and added spaces")
         self.model, self.cut = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([*map(re.escape, self.special), GLUED])
         self.shown = byte_characters()
         self.chunks: Memo = Memo(CACHED_CHUNKS, CACHED_CHARS)
         self.parts: dict[str, bytes] = {}
@@ -182,8 +192,10 @@ class ChunkEncoder:
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
+        if ids is None and part[:1] == "\u0120" and part[1:].isascii() and part[1:].isalpha():
+            ids = self.chunks.get(part[1:]) or self.chunks.old.get(part[1:])
         if ids is None:
-            ids = array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
+            ids = self._tokens(part)
             if len(part) <= CACHED_CHARS:
                 if len(self.parts) >= CACHED_PARTS:
                     self.parts.clear()
@@ -191,16 +203,19 @@ class ChunkEncoder:
         return ids
 
     def direct(self, keys: Iterable[str]) -> Iterator[bytes]:
-        return (self._ids(text_of(key)) for key in keys)
+        """Letters alone are held as a chunk, not as a part as well."""
+        letters = not any(token.isalpha() for token in self.special)
+        for key in keys:
+            yield self._tokens("\u0120" + key) if letters and key.isascii() and key.isalpha() else self._ids(text_of(key))
+
+    def _tokens(self, part: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Keys of the chunks: the chunk without the space it begins with, or with one more if it begins with none."""
         if any(token in text for token in self.special):
             return [" " + text]
         keys = text.split(" ")
-        if "  " not in text and not any(c in text and (c + " " in text or " " + c in text) for c in WHITE):
-            keys[0] = " " + keys[0]
-            return keys
         chunks: list[str] = []
         glued = False
         for number, part in enumerate(keys):
@@ -212,18 +227,35 @@ class ChunkEncoder:
             glued = not part or part[-1].isspace()
         return [c[1:] if c[:1] == " " != c[1:2] else " " + c for c in chunks]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(text) for text in texts]
-        self.chunks.fill(set().union(*split), self.direct)
-        results = []
-        for keys in split:
-            found = list(map(self.chunks.get, keys))
-            if None in found:
-                long = self.direct([k for k, f in zip(keys, found, strict=True) if f is None])
-                found = [next(long) if f is None else f for f in found]
-            results.append(b"".join(found))
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids as 32-bit integers, for each text. Each different chunk is looked up once."""
+        import pyarrow.compute as pc
+
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        results: list[bytes] = [b""] * len(texts)
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            keys, numbers, offsets = split_words(texts.take(pa.array(plain)))
+            # The first chunk of a text has no space in front.
+            numbers = numbers.copy()
+            firsts = offsets[:-1]
+            keys_of_firsts = [" " + keys[n] for n in numbers[firsts]]
+            numbers[firsts] = np.arange(len(keys), len(keys) + len(firsts))
+            for i, ids in zip(plain, joined(self._known(keys + keys_of_firsts), numbers, offsets), strict=True):
+                results[i] = ids
+        for i in np.flatnonzero(odd):
+            results[i] = b"".join(self._known(self.split(texts[i].as_py())))
         return results
 
+    def _known(self, keys: list[str]) -> list[bytes]:
+        self.chunks.fill(set(keys), self.direct)
+        found = list(map(self.chunks.get, keys))
+        if None in found:
+            long = self.direct([k for k, f in zip(keys, found, strict=True) if f is None])
+            found = [next(long) if f is None else f for f in found]
+        return found
+
 
 def byte_characters() -> dict[int, str]:
     """The character that byte-level tokenizers show each byte as: itself where it can be seen, else one from 256 on."""
@@ -256,7 +288,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, end = held_model(ChunkEncoder, tokenizer_file), np.uint32(end_id).tobytes()
         for batch in small_batches(batches, "text"):
-            ids = [i + end for i in model.encode([t or "" for t in batch.column("text").to_pylist()])]
+            ids = [i + end for i in model.encode(batch.column("text").fill_null(""))]
             keys = batch.column("key")
             parts = np.where(keys.is_null(), 0, np.searchsorted(starts, keys.fill_null(0).to_numpy(), side="right"))
             small = [np.frombuffer(i, "<u4").astype("<u2").tobytes() if max_id(i) < 1 << 16 else b"\x00" + i for i in ids]
@@ -268,6 +300,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come in order of (part, key); a segment is closed at the end of a part or beyond its size."""
+        forget_models()
         part, keys, held, size = None, [], [], 0
 
         def close() -> pa.RecordBatch:
@@ -287,16 +320,17 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
         if keys:
             yield close()
 
-    encoded = rows.mapInArrow(encode, "part int, key bigint, ids binary, check bigint")
+    encoded = rows.mapInArrow(lean(encode), "part int, key bigint, ids binary, check bigint")
     dealt = encoded.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("part", F.col("key").asc_nulls_first(), "check")
     location = new_location(docs.sparkSession, "tokens")
     # Files come in the order of the parts; Spark's text writer adds a line end after each segment.
-    dealt.mapInArrow(segments, "part int, content binary").select(F.col("content").cast("string")).write.text(location)
+    dealt.mapInArrow(lean(segments), "part int, content binary").select(F.col("content").cast("string")).write.text(location)
     return location
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array, pa.Array, np.ndarray, np.ndarray]]:
     """File name, places and document ids of each segment, with the offsets of documents in its ids, and these."""
+    forget_models()
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
             data = np.frombuffer(content.as_buffer(), np.uint8)
@@ -322,7 +356,7 @@ def read_tokens(spark: SparkSession, location: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype("i4")), pa.array(ids.view(np.int32)))
             yield pa.RecordBatch.from_arrays([file, place, keys, lists], names=["file", "place", "doc_id", "ids"])
 
-    return _files(spark, location).mapInArrow(read, "file string, place bigint, doc_id bigint, ids array<int>")
+    return _files(spark, location).mapInArrow(lean(read), "file string, place bigint, doc_id bigint, ids array<int>")
 
 
 def token_report(spark: SparkSession, location: str) -> DataFrame:
@@ -336,7 +370,7 @@ def token_report(spark: SparkSession, location: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["file", "place", "doc_id", "n_tokens", "ids_crc32"])
 
     schema = "file string, place bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
-    return _files(spark, location).mapInArrow(check, schema)
+    return _files(spark, location).mapInArrow(lean(check), schema)
 
 
 def with_starts(report: DataFrame) -> DataFrame:

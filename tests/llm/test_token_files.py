@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from moorage.llm import token_files
+from moorage.llm import common, token_files
 from moorage.llm.queries import op4_token_files
 from moorage.llm.token_files import ChunkEncoder, decode_segment, encode_segment, read_tokens, write_tokens
 from tests.llm.conftest import SMALL
@@ -56,6 +56,31 @@ def test_chunks_give_what_the_library_gives(text):
         assert np.frombuffer(ENCODER.encode([t])[0], "<u4").tolist() == ids_of(t)
 
 
+@pytest.mark.parametrize("count", [1, 7, 8, 255, 256])
+def test_values_of_every_width(count):
+    rng = np.random.default_rng(5)
+    for width in range(1, 33):
+        values = rng.integers(0, 1 << width, (5, count), np.uint64).astype(np.uint32)
+        assert token_files.unpack(token_files.pack(values, width), width, count).tolist() == values.tolist()
+
+
+def test_chunks_of_a_batch_are_looked_up_once():
+    """What odd and plain texts share comes out as if each had been encoded by itself."""
+    encoder = ChunkEncoder(FILE)
+    looked = []
+    known = encoder._known
+    encoder._known = lambda keys: looked.append(keys) or known(keys)
+    texts = ["a cat, a cat", "", " cat", "cat", "a  cat", "cat ", "cat\n a", "x<|endoftext|> cat", "cat. cat"]
+    rows = encoder.encode(texts * 3)
+    assert len(looked[0]) < 5 + 3 * len(texts)
+    assert [np.frombuffer(r, "<u4").tolist() for r in rows] == [ids_of(t) for t in texts] * 3
+
+
+def test_workers_hold_no_encoder_when_files_are_read():
+    common.held_model(ChunkEncoder, FILE)
+    assert list(token_files._parsed(iter([]))) == [] and not common._held
+
+
 def test_query_equals_the_library(spark, monkeypatch):
     monkeypatch.setattr(token_files, "SEGMENT_BYTES", 60_000)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
