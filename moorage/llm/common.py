@@ -110,12 +110,18 @@ def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), offsets - offsets[0]
 
 
-def joined(values: list[bytes], numbers: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-    """For each stretch between offsets, the values with these numbers joined."""
-    taken = pa.array(values, pa.large_binary()).take(pa.array(numbers))
-    places = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1, taken.offset * 8)[offsets].tolist()
-    data = memoryview(taken.buffers()[2] or b"")
-    return [bytes(data[start:end]) for start, end in zip(places[:-1], places[1:], strict=True)]
+def joined_array(values: pa.Array, numbers: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """For each stretch between offsets, the values (large_binary) with these numbers joined."""
+    taken = values.take(pa.array(numbers))
+    places = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1, taken.offset * 8)[offsets]
+    data = taken.buffers()[2] or pa.py_buffer(b"")
+    return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), data])
+
+
+def joined(values: list[bytes] | pa.Array, numbers: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """``joined_array`` as a list, also of a list."""
+    values = values if isinstance(values, pa.Array) else pa.array(values, pa.large_binary())
+    return joined_array(values, numbers, offsets).to_pylist()
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

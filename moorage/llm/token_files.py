@@ -20,13 +20,15 @@ import re
 import struct
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain, count, groupby, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from moorage.llm.common import Memo, forget_models, held_model, joined, lean, small_batches, split_words
+from moorage.llm.common import forget_models, held_model, joined, joined_array, lean, small_batches, split_words
 from moorage.session import new_location
 
 BLOCK = 256
@@ -34,13 +36,16 @@ PERCENTILE = 90
 SEGMENT_BYTES = 8 << 20  # of text, about
 MAX_RANGES = 20_000
 END_ID = 0
-CACHED_CHUNKS = 600_000  # bound of the cache of a worker
-CACHED_CHARS = 64
-CACHED_PARTS = 200_000
-# Within Latin letters the library's rule for cutting is this pattern, but for characters that Python classes otherwise.
-LATIN_END = "\u0250"
-UNLIKE = frozenset("\x1c\x1d\x1e\x1f\u00b2\u00b3\u00b9\u00bc\u00bd\u00be")
-CUT = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+ENCODED_BYTES = 16 << 20  # of text at once
+# Beyond either bound a worker forgets the parts it met before.
+CACHED_PARTS = 300_000
+CACHED_BYTES = 16 << 20
+AT_ONCE = 1 << 14  # chunks or parts
+# No text holds this character. Within Latin letters the library's rule for cutting is the pattern CUT, with STOP as the
+# end of a text, but for characters that Python classes otherwise.
+STOP = "\udcff"
+UNLIKE = re.compile("[\x1c-\x1f\u00b2\u00b3\u00b9\u00bc-\u00be\u0250-\U0010ffff]")
+CUT = re.compile(rf"{STOP}|'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\w\s{STOP}]|_)+|\s+(?![^\s{STOP}])|\s+")
 WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 GLUED = f" [{WHITE}]|[{WHITE}] "  # in texts whose chunks aren't what lies between spaces
 
@@ -160,8 +165,9 @@ class ChunkEncoder:
     """Ids of whole texts from a tokenizer of the byte-level kind, whose tokens never hold a space but in front.
 
     A single space between two characters that aren't white space begins a token, so what lies between such spaces, a
-    chunk, is encoded by itself, and chunks met before come from a bounded cache. New chunks are cut by the library's
-    rule (in Latin script by a pattern that says the same), and the parts not met before go to the library's model.
+    chunk, is looked up by itself, once a batch. All chunks of a batch are cut together by the library's rule (in Latin
+    script by a pattern that says the same), and the parts not met before go to the library's model. Parts have numbers,
+    and the ids of chunks and texts are gathered by these, in columns.
     """
 
     def __init__(self, file: str) -> None:
@@ -173,48 +179,36 @@ class ChunkEncoder:
         self.model, self.cut = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "|".join([*map(re.escape, self.special), GLUED])
-        self.shown = byte_characters()
-        self.chunks: Memo = Memo(CACHED_CHUNKS, CACHED_CHARS)
-        self.parts: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        for token in self.special:
-            if token in text:
-                return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        word, space = (text[1:], "\u0120") if text[:1] == " " else (text, "")
-        if word.isascii() and word.isalpha():
-            return self._part(space + word)
-        if word and max(word) < LATIN_END and UNLIKE.isdisjoint(word):
-            parts = [part.encode().decode("latin-1").translate(self.shown) for part in CUT.findall(text)]
-        else:
-            parts = [part for part, _ in self.cut(text)]
-        return b"".join(map(self._part, parts))
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None and part[:1] == "\u0120" and part[1:].isascii() and part[1:].isalpha():
-            ids = self.chunks.get(part[1:]) or self.chunks.old.get(part[1:])
-        if ids is None:
-            ids = self._tokens(part)
-            if len(part) <= CACHED_CHARS:
-                if len(self.parts) >= CACHED_PARTS:
-                    self.parts.clear()
-                self.parts[part] = ids
-        return ids
-
-    def direct(self, keys: Iterable[str]) -> Iterator[bytes]:
-        """Letters alone are held as a chunk, not as a part as well."""
-        letters = not any(token.isalpha() for token in self.special)
-        for key in keys:
-            yield self._tokens("\u0120" + key) if letters and key.isascii() and key.isalpha() else self._ids(text_of(key))
-
-    def _tokens(self, part: str) -> bytes:
-        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
+        self.shown = byte_characters() | {0xFF: "\n"}  # STOP as a byte, which UTF-8 doesn't have; no byte is shown as a line end
+        self._forget()
+
+    def _forget(self) -> None:
+        """Number 0 is STOP, without ids. Those of part ``i`` lie between ``ends[i]`` and ``ends[i + 1]``."""
+        self.parts: defaultdict[str, int] = defaultdict(count().__next__)
+        self.ids, self.ends, self.size = array("I"), array("q", [0] * (self.parts[STOP] + 2)), 0
+
+    def _cut(self, keys: list[str]) -> Iterator[list[str]]:
+        """The parts of these chunks, with STOP after each chunk."""
+        for start in range(0, len(keys), AT_ONCE):
+            texts = map(text_of, keys[start : start + AT_ONCE])
+            for unlike, run in groupby(texts, lambda text: UNLIKE.search(text) is not None):
+                if unlike:
+                    for text in run:
+                        yield [*(text[first:end] for _, (first, end) in self.cut(text)), STOP]
+                else:
+                    yield CUT.findall(STOP.join([*run, ""]))
+
+    def _learn(self, parts: list[str]) -> None:
+        tokenize, ids, ends = self.model.tokenize, self.ids, self.ends
+        for start in range(0, len(parts), AT_ONCE):
+            data = STOP.join(parts[start : start + AT_ONCE]).encode("utf-8", "surrogateescape")
+            for shown in data.decode("latin-1").translate(self.shown).split("\n"):
+                ids.extend([token.id for token in tokenize(shown)])
+                ends.append(len(ids))
+            self.size += len(data)
 
     def split(self, text: str) -> list[str]:
         """Keys of the chunks: the chunk without the space it begins with, or with one more if it begins with none."""
-        if any(token in text for token in self.special):
-            return [" " + text]
         keys = text.split(" ")
         chunks: list[str] = []
         glued = False
@@ -234,27 +228,36 @@ class ChunkEncoder:
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         results: list[bytes] = [b""] * len(texts)
-        plain = np.flatnonzero(~odd)
-        if len(plain):
-            keys, numbers, offsets = split_words(texts.take(pa.array(plain)))
-            # The first chunk of a text has no space in front.
-            numbers = numbers.copy()
-            firsts = offsets[:-1]
-            keys_of_firsts = [" " + keys[n] for n in numbers[firsts]]
-            numbers[firsts] = np.arange(len(keys), len(keys) + len(firsts))
-            for i, ids in zip(plain, joined(self._known(keys + keys_of_firsts), numbers, offsets), strict=True):
-                results[i] = ids
-        for i in np.flatnonzero(odd):
-            results[i] = b"".join(self._known(self.split(texts[i].as_py())))
+        places = np.flatnonzero(~odd).tolist()
+        keys, numbers, offsets = split_words(texts.take(pa.array(places, pa.int64())))
+        more: defaultdict[str, int] = defaultdict(count(len(keys)).__next__)
+        # The first chunk of a text has no space in front.
+        numbers = numbers.copy()
+        numbers[offsets[:-1]] = [more[" " + keys[number]] for number in numbers[offsets[:-1]]]
+        others, ends = array("i"), array("q")
+        for i in np.flatnonzero(odd).tolist():
+            text = texts[i].as_py()
+            if any(token in text for token in self.special):
+                results[i] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+                continue
+            others.extend([more[key] for key in self.split(text)])
+            ends.append(len(numbers) + len(others))
+            places.append(i)
+        numbers, offsets = np.concatenate([numbers, np.array(others, np.int32)]), np.concatenate([offsets, np.array(ends, np.int64)])
+        for i, ids in zip(places, joined(self._known([*keys, *more]), numbers, offsets), strict=True):
+            results[i] = ids
         return results
 
-    def _known(self, keys: list[str]) -> list[bytes]:
-        self.chunks.fill(set(keys), self.direct)
-        found = list(map(self.chunks.get, keys))
-        if None in found:
-            long = self.direct([k for k, f in zip(keys, found, strict=True) if f is None])
-            found = [next(long) if f is None else f for f in found]
-        return found
+    def _known(self, keys: list[str]) -> pa.Array:
+        """The ids of each of these chunks."""
+        if len(self.parts) > CACHED_PARTS or self.size > CACHED_BYTES:
+            self._forget()
+        held = len(self.parts)
+        numbers = np.fromiter(map(self.parts.__getitem__, chain.from_iterable(self._cut(keys))), np.int32)
+        self._learn(list(islice(self.parts, held, None)))
+        places = pa.py_buffer(np.array(self.ends) * self.ids.itemsize)
+        ids = pa.Array.from_buffers(pa.large_binary(), len(self.parts), [None, places, pa.py_buffer(self.ids.tobytes())])
+        return joined_array(ids, numbers, np.concatenate([[0], np.flatnonzero(numbers == 0) + 1]))
 
 
 def byte_characters() -> dict[int, str]:
@@ -287,7 +290,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, key: str = "doc_id", text
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, end = held_model(ChunkEncoder, tokenizer_file), np.uint32(end_id).tobytes()
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", ENCODED_BYTES):
             ids = [i + end for i in model.encode(batch.column("text").fill_null(""))]
             keys = batch.column("key")
             parts = np.where(keys.is_null(), 0, np.searchsorted(starts, keys.fill_null(0).to_numpy(), side="right"))

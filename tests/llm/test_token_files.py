@@ -1,5 +1,6 @@
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -76,6 +77,39 @@ def test_chunks_of_a_batch_are_looked_up_once():
     assert [np.frombuffer(r, "<u4").tolist() for r in rows] == [ids_of(t) for t in texts] * 3
 
 
+def test_new_chunks_of_a_batch_are_cut_together(monkeypatch):
+    """Cutting takes a call for many chunks, and words that differ in their marks alone reach the model once."""
+    cut, cuts, tokenized = token_files.CUT, [], []
+    monkeypatch.setattr(token_files, "CUT", SimpleNamespace(findall=lambda text: cuts.append(text) or cut.findall(text)))
+    encoder = ChunkEncoder(FILE)
+    model = encoder.model
+    encoder.model = SimpleNamespace(tokenize=lambda part: tokenized.append(part) or model.tokenize(part))
+    texts = [f"wo{'xyz'[i % 3]}rd{mark} wo{'xyz'[i % 3]}rd{mark}\nend" for i, mark in enumerate([".", ",", ";", "!?", "%%", "'s"] * 5)]
+    assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(texts)] == [ids_of(t) for t in texts]
+    assert len(cuts) == 1 and len(tokenized) == len(set(tokenized)) < 20
+
+
+MIXED = ["\xff \xffa, \u0100b\x00", "\u201cquoted\u201d it's don't", "\u4f60\u597d, \u4e16\u754c a\u0301", "x\u00b2 \u00bd\x1c", "a\n\n b \n", "", " ", "\n", "\x00\x00 \xad"]
+
+
+@pytest.mark.parametrize("bounds", [{"AT_ONCE": 1}, {"AT_ONCE": 3}, {"CACHED_PARTS": 0}, {"CACHED_BYTES": 10}, {}])
+def test_scripts_side_by_side_in_any_slices(monkeypatch, bounds):
+    for name, value in bounds.items():
+        monkeypatch.setattr(token_files, name, value)
+    encoder = ChunkEncoder(FILE)
+    texts = [*MIXED, " ".join(MIXED), "".join(MIXED), "<|endoftext|>".join(MIXED), *(f"{a} {b}" for a in MIXED for b in MIXED)]
+    for batch in (texts, texts[::-1], texts[5:6], []):
+        assert [np.frombuffer(r, "<u4").tolist() for r in encoder.encode(batch)] == [ids_of(t) for t in batch]
+
+
+def test_a_worker_forgets_parts_beyond_its_bounds(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_BYTES", 1000)
+    encoder = ChunkEncoder(FILE)
+    for i in range(50):
+        encoder.encode(["w" * (90 + i)])
+    assert encoder.size < 1200 and len(encoder.parts) < 15
+
+
 def test_workers_hold_no_encoder_when_files_are_read():
     common.held_model(ChunkEncoder, FILE)
     assert list(token_files._parsed(iter([]))) == [] and not common._held
