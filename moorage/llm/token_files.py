@@ -44,7 +44,7 @@ AT_ONCE = 1 << 14  # chunks or parts
 # No text holds this character. Within Latin letters the library's rule for cutting is the pattern CUT, with STOP as the
 # end of a text, but for characters that Python classes otherwise.
 STOP = "\udcff"
-UNLIKE = re.compile("[\x1c-\x1f\u00b2\u00b3\u00b9\u00bc-\u00be\u0250-\U0010ffff]")
+UNLIKE = re.compile("[\x1c-\x1f\u00b2\u00b3\u00b9\u00bc-\u00be\u0250-\ud7ff\ue000-\U0010ffff]")
 CUT = re.compile(rf"{STOP}|'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\w\s{STOP}]|_)+|\s+(?![^\s{STOP}])|\s+")
 WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 GLUED = f" [{WHITE}]|[{WHITE}] "  # in texts whose chunks aren't what lies between spaces
@@ -190,7 +190,11 @@ class ChunkEncoder:
     def _cut(self, keys: list[str]) -> Iterator[list[str]]:
         """The parts of these chunks, with STOP after each chunk."""
         for start in range(0, len(keys), AT_ONCE):
-            texts = map(text_of, keys[start : start + AT_ONCE])
+            texts = list(map(text_of, keys[start : start + AT_ONCE]))
+            whole = STOP.join([*texts, ""])
+            if UNLIKE.search(whole) is None:
+                yield CUT.findall(whole)
+                continue
             for unlike, run in groupby(texts, lambda text: UNLIKE.search(text) is not None):
                 if unlike:
                     for text in run:
